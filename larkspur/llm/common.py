@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,9 +30,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: df is written to the shared folder once and read from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: df is written as Parquet to the shared folder and read from there. What is written is removed when the driver's process ends."""
+    spark = df.sparkSession
+    at = f"{shared_dir(spark).rstrip('/')}/larkspur-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    atexit.register(_remove, spark, at)
+    return spark.read.schema(df.schema).parquet(at)
+
+
+def _remove(spark: SparkSession, at: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session has ended
+        return
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:

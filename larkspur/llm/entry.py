@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import quality
+from larkspur.llm import bpe, packing, quality, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_simhash_blocks": simhash.op6_simhash_blocks,
         "op7_quality_divergence": quality.op7_quality_divergence,
+        "op8_bpe_chunk_reuse": bpe.op8_bpe_chunk_reuse,
+        "op9_bounded_best_fit": packing.op9_bounded_best_fit,
     }
 
 
