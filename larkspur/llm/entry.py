@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import bpe, packing, quality, simhash
+from larkspur.llm import bpe, chat, packing, quality, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_arc_to_warc": warc.op2_arc_to_warc,
+        "op4_incremental_chat": chat.op4_incremental_chat,
         "op6_simhash_blocks": simhash.op6_simhash_blocks,
         "op7_quality_divergence": quality.op7_quality_divergence,
         "op8_bpe_chunk_reuse": bpe.op8_bpe_chunk_reuse,
@@ -19,4 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_arc_to_warc": warc.OP2_SQL,
+        "op4_incremental_chat": chat.OP4_SQL,
+    }
