@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import bpe, chat, packing, quality, simhash, warc
+from larkspur.llm import bpe, chat, licenses, packing, quality, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_arc_to_warc": warc.op2_arc_to_warc,
+        "op3_license_diagonals": licenses.op3_license_diagonals,
         "op4_incremental_chat": chat.op4_incremental_chat,
         "op6_simhash_blocks": simhash.op6_simhash_blocks,
         "op7_quality_divergence": quality.op7_quality_divergence,
