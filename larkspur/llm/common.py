@@ -7,9 +7,11 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,3 +72,37 @@ def map_slices(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.Rec
                 yield out
 
     return df.mapInArrow(run, schema)
+
+
+def tiles(rows: DataFrame, by: str, tile: int) -> DataFrame:
+    """rows(k, n, ...), n the number of rows of k, dealt out: each row gets (i, j), pairs of tiles of k of about `tile` rows each, so that any two rows of k meet under some (k, i, j)."""
+    count = F.ceil(F.col("n") / tile).cast("int")
+    rows = rows.withColumns({"_t": F.pmod(F.xxhash64(by, F.lit(7)), count).cast("int"), "_o": F.explode(F.sequence(F.lit(0), count - 1))})
+    return rows.withColumns({"i": F.least("_t", "_o"), "j": F.greatest("_t", "_o")}).drop("_t", "_o", "n")
+
+
+def tile_pairs(rows: DataFrame, order: list[str], links: Callable[[pa.Table], list[tuple[int, int]]]) -> DataFrame:
+    """(a, b) of all links(rows of a (k, i, j)). One (k, i, j) is held at a time."""
+    keys = ["k", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            if held and (found := links(pa.Table.from_batches(held))):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
+
+        for batch in batches:
+            k, i, j = (batch.column(n).to_numpy() for n in keys)
+            new = np.flatnonzero((k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            for x, y in zip([0, *new.tolist()], [*new.tolist(), len(k)], strict=True):
+                if x == y:
+                    continue
+                if (at := (k[x], i[x], j[x])) != last:
+                    yield from emit()
+                    held, last = [], at
+                held.append(batch.slice(x, y - x))
+        yield from emit()
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, "a long, b long")

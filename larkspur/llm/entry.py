@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import bpe, chat, licenses, packing, quality, simhash, warc
+from larkspur.llm import bpe, chat, licenses, lines, packing, quality, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality_divergence": quality.op7_quality_divergence,
         "op8_bpe_chunk_reuse": bpe.op8_bpe_chunk_reuse,
         "op9_bounded_best_fit": packing.op9_bounded_best_fit,
+        "op10_segment_edit_join": lines.op10_segment_edit_join,
     }
 
 

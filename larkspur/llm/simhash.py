@@ -14,7 +14,6 @@ not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -23,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import cut, map_slices, table
+from larkspur.llm.common import cut, map_slices, table, tile_pairs, tiles
 from larkspur.llm.components import components
 
 WORDS, SEED, DISTANCE, BLOCKS, TILE = 3, 42, 3, 6, 4096
@@ -85,32 +84,12 @@ def links(nodes: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, tile
     sizes = cut(sizes)
     pairs = sizes.where(f"n = 2 and bit_count(x.fp ^ y.fp) <= {distance}").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     big = rows.join(sizes.where("n > 2").select("k", "n"), "k")
-    tiles = F.ceil(F.col("n") / tile).cast("int")
-    big = big.withColumns({"t": F.pmod(F.xxhash64("fp", F.lit(7)), tiles).cast("int"), "o": F.explode(F.sequence(F.lit(0), tiles - 1))})
-    big = big.select("k", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "fp", "node")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = [], None  # of the tile pair that the rows have reached
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            if held:
-                fps, ids = (np.concatenate(x) for x in zip(*held, strict=True))
-                if found := forest(fps, ids, distance):
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
-
-        for batch in batches:
-            k, i, j, fp, node = (batch.column(n).to_numpy() for n in ("k", "i", "j", "fp", "node"))
-            new = np.flatnonzero((k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            for x, y in zip([0, *new.tolist()], [*new.tolist(), len(k)], strict=True):
-                if x == y:
-                    continue
-                if (at := (k[x], i[x], j[x])) != last:
-                    yield from emit()
-                    held, last = [], at
-                held.append((fp[x:y].astype(np.int64).view(np.uint64), node[x:y]))
-        yield from emit()
-
-    more = big.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j", "fp").mapInArrow(run, "a long, b long")
+    big = tiles(big, "fp", tile).select("k", "i", "j", "fp", "node")
+
+    def of(held: pa.Table) -> list[tuple[int, int]]:
+        return forest(held.column("fp").to_numpy().view(np.uint64), held.column("node").to_numpy(), distance)
+
+    more = tile_pairs(big, ["fp"], of)
     return pairs.unionByName(more)
 
 
