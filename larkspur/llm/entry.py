@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import bpe, chat, licenses, lines, packing, quality, simhash, warc
+from larkspur.llm import bpe, chat, licenses, lines, packing, pii, quality, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pii_crf": pii.op1_pii_crf,
         "op2_arc_to_warc": warc.op2_arc_to_warc,
         "op3_license_diagonals": licenses.op3_license_diagonals,
         "op4_incremental_chat": chat.op4_incremental_chat,
