@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import bpe, chat, licenses, lines, packing, pii, quality, simhash, warc
+from larkspur.llm import bpe, chat, fingerprints, licenses, lines, packing, pii, quality, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_arc_to_warc": warc.op2_arc_to_warc,
         "op3_license_diagonals": licenses.op3_license_diagonals,
         "op4_incremental_chat": chat.op4_incremental_chat,
+        "op5_edit_embedding": fingerprints.op5_edit_embedding,
         "op6_simhash_blocks": simhash.op6_simhash_blocks,
         "op7_quality_divergence": quality.op7_quality_divergence,
         "op8_bpe_chunk_reuse": bpe.op8_bpe_chunk_reuse,
