@@ -111,6 +111,12 @@ def with_signals(docs: DataFrame, references: DataFrame) -> DataFrame:
     return df.withColumn("kept", ~F.col("base_failed") & ~far).drop("words", "char_hist", "word_hist", "_text", "_lines", "_h", "_s", "_at", "_lang", "char_ref", "word_ref")
 
 
+def passing(docs: DataFrame, references: DataFrame) -> DataFrame:
+    """The rows of docs that are kept. A generator takes the verdict: as a filter it would be pushed below the projections, each of whose expressions it would hold several times."""
+    judged = with_signals(docs, references)
+    return judged.select(*docs.columns, F.explode(F.when(F.col("kept"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))).alias("_kept")).select(*docs.columns)
+
+
 def op7_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = with_signals(docs.select("doc_id", "text", "lang"), fit_references(docs, table(spark, sf_dir, "labels")))
