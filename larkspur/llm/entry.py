@@ -27,5 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_arc_to_warc": warc.OP2_SQL,
+        "op3_license_diagonals": licenses.OP3_SQL,
         "op4_incremental_chat": chat.OP4_SQL,
+        "op7_quality_divergence": quality.OP7_SQL,
     }

@@ -104,3 +104,28 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def op3_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_VALUES = ", ".join(f"({t}, {_quoted(label)}, {_quoted(text)}, {base})" for t, (label, text, base) in enumerate([(b, a, "true") for a, b in BASE.items()] + [(b, a, "false") for b, a in NOTICES]))
+_WORDS = r"list_filter(regexp_split_to_array(lower(replace({}, 'K', 'Å')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+#: DuckDB SQL for the query: grams are compared as text.
+OP3_SQL = f"""
+WITH listed(t, label, text, base) AS (VALUES {_VALUES}),
+tw AS (SELECT *, {_WORDS.format("text")} AS w FROM listed),
+tg AS (SELECT t, label, base, len(w) AS words, len(w) - 2 AS n, i AS tpos, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM tw)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+g AS (SELECT r, i AS pos, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM d)),
+v AS (SELECT r, t, label, base, words, n, pos - tpos AS diagonal, count(*) AS votes, min(pos) - 1 AS lo, max(pos) - 1 AS hi FROM g JOIN tg USING (a, b, c) GROUP BY ALL),
+s AS (SELECT *, CASE WHEN words <= {SHORT} OR coalesce(diagonal - lag(diagonal) OVER o > {DRIFT}, false) OR coalesce(abs(lo - lag(hi) OVER o) > {GAP}, false) THEN 1 ELSE 0 END AS apart FROM v WINDOW o AS (PARTITION BY r, t ORDER BY diagonal, lo)),
+m AS (SELECT r, t, label, base, words, n, span, sum(votes) AS votes, min(lo) AS lo, max(hi) AS hi FROM (SELECT *, sum(apart) OVER (PARTITION BY r, t ORDER BY diagonal, lo) AS span FROM s) GROUP BY ALL),
+x AS (SELECT *, least(votes / n, 1.0) AS covered FROM m),
+y AS (SELECT r, count(*) FILTER (base AND covered >= 1) AS n_base, min(lo) FILTER (base AND covered >= 1) AS first_word, max(lo) FILTER (base AND covered >= 1) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND covered >= 1) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (covered >= 1 OR words > {SHORT} AND covered >= {COVERED} AND votes / (hi - lo + 1) >= {DENSE}) AS labels, max(covered) AS score FROM x GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN y USING (r)
+"""

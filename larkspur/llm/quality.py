@@ -120,4 +120,32 @@ def passing(docs: DataFrame, references: DataFrame) -> DataFrame:
 def op7_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = with_signals(docs.select("doc_id", "text", "lang"), fit_references(docs, table(spark, sf_dir, "labels")))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_LISTS = ", ".join(f"('{lang}', {words.split()!r})" for lang, words in COMMON_WORDS.items())
+_JS = "sqrt(greatest(list_sum(list_transform(range(1, len({p}) + 1), lambda i: (CASE WHEN {p}[i] > 0 THEN {p}[i] * log2(2 * {p}[i] / ({p}[i] + {q}[i])) ELSE 0 END + CASE WHEN {q}[i] > 0 THEN {q}[i] * log2(2 * {q}[i] / ({p}[i] + {q}[i])) ELSE 0 END) / 2)), 0))"
+#: DuckDB SQL for the query: the same rules, with repeated windows found by grouping.
+OP7_SQL = rf"""
+WITH common(lang, list) AS (VALUES {_LISTS}),
+d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+c AS (SELECT w.*, len(words) AS n, length(array_to_string(words, '')) AS solid, length(text) AS chars, list,
+    list_transform(words, lambda x: regexp_extract(lower(x), '^[^.,;:!?]*')) AS plain,
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper, length(regexp_replace(text, '[^.,]', '', 'g')) AS stop, length(regexp_replace(text, '[^#*$%&|<>!]', '', 'g')) AS mark, length(regexp_replace(text, '[^0-9]', '', 'g')) AS digits
+  FROM w LEFT JOIN common ON w.lang = common.lang),
+k AS (SELECT *, [greatest(solid - digits - upper - stop - mark, 0), chars - solid, octet_length(encode(text)) - chars, upper, stop, mark] AS cc,
+    list_transform(list, lambda x: len(list_filter(plain, lambda y: y = x))) AS hits FROM c),
+h AS (SELECT *, list_transform(cc, lambda x: x / greatest(list_sum(cc), 1)) AS ch, list_transform(list_append(hits, n - list_sum(hits)), lambda x: x / greatest(n, 1)) AS wh FROM k),
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL ORDER BY doc_id LIMIT {FIT_ROWS}),
+g AS (SELECT * FROM h WHERE doc_id IN (SELECT doc_id FROM good) AND list IS NOT NULL AND chars >= {MIN_CHARS} AND n >= {MIN_WORDS}),
+cr AS (SELECT lang, list(m ORDER BY i) AS ref FROM (SELECT lang, i, avg(v) AS m FROM (SELECT lang, unnest(ch) AS v, generate_subscripts(ch, 1) AS i FROM g) GROUP BY lang, i) GROUP BY lang),
+wr AS (SELECT lang, list(m ORDER BY i) AS ref FROM (SELECT lang, i, avg(v) AS m FROM (SELECT lang, unnest(wh) AS v, generate_subscripts(wh, 1) AS i FROM g) GROUP BY lang, i) GROUP BY lang),
+win AS (SELECT r, i, array_to_string(words[i:i + 7], ' ') AS s FROM (SELECT r, words, unnest(range(1, n - 6)) AS i FROM w JOIN (SELECT r AS r2, len(words) AS n FROM w) ON r = r2)),
+rep AS (SELECT r, count(DISTINCT p) AS covered FROM (SELECT win.r, unnest(range(i, i + 8)) AS p FROM win JOIN (SELECT r, s FROM win GROUP BY r, s HAVING count(*) > 1) AS t ON win.r = t.r AND win.s = t.s) GROUP BY r),
+f AS (SELECT h.*, coalesce(covered, 0) AS covered, {_JS.format(p="ch", q="cr.ref")} AS cd, {_JS.format(p="wh", q="wr.ref")} AS wd FROM h LEFT JOIN rep ON h.r = rep.r LEFT JOIN cr ON h.lang = cr.lang LEFT JOIN wr ON h.lang = wr.lang),
+b AS (SELECT *, n < 20 OR 100 * covered > 30 * n AS base_failed FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(solid AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(covered AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND NOT (CASE WHEN chars >= {MIN_CHARS} THEN coalesce(cd, 0) ELSE 0 END > {MAX_CHAR_DISTANCE} OR CASE WHEN n >= {MIN_WORDS} THEN coalesce(wd, 0) ELSE 0 END > {MAX_WORD_DISTANCE}) AS kept
+FROM b
+"""

@@ -35,9 +35,9 @@ def result(spark, name):
     return queries()[name](spark, FOLDER).toPandas()
 
 
-@pytest.mark.parametrize("name", ["op2_arc_to_warc", "op4_incremental_chat"])
+@pytest.mark.parametrize("name", ["op2_arc_to_warc", "op3_license_diagonals", "op4_incremental_chat", "op7_quality_divergence"])
 def test_sql(spark, name):
-    for t in ("pages", "conversations"):
+    for t in ("pages", "conversations", "documents", "labels"):
         duckdb.sql(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     df = queries()[name](spark, FOLDER)
     rel = duckdb.sql(oracle_sql()[name]).project(", ".join(df.columns))
