@@ -25,15 +25,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import cut, map_slices, table, tile_pairs, tiles
 from larkspur.llm.components import components
 
 BITS, SEED = 512, 20240229
-#: Ranges of doc_id are found by quantiles, RANGES at most; a task holds POOL_CHARS characters at a time.
-RANGES, POOL_CHARS, BLOCK = 4096, 12_000_000, 512
+#: A task gets a range of doc_id and holds POOL_CHARS characters at a time.
+QUANTILES, TASK_BYTES, POOL_CHARS, BLOCK = 1024, 64 << 20, 12_000_000, 512
+#: Sizes from here on are Spark's way to say that it knows none.
+UNKNOWN_BYTES = 1 << 60
 #: Stands behind each text while it is walked: a code point that no text has. The pointer stays on it.
 STOP = "\ud800"
 BANDS, BAND_BITS, LIKE, TILE = 24, 32, 0.8, 4096
@@ -122,30 +124,39 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - k] + after[:k]
 
 
+def tasks_for(docs: DataFrame) -> int:
+    """As many tasks as the session shuffles to, or more if each would get over TASK_BYTES of the input as stored."""
+    stored = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return usual if stored >= UNKNOWN_BYTES else max(usual, -(-stored // TASK_BYTES))
+
+
 def in_ranges(docs: DataFrame, ranges: int) -> DataFrame:
-    """docs(doc_id, text) dealt by (range, guest): ranges of descending doc_id; each range's first rows are also guests of the range before, the first range's of the last."""
-    ranges = max(1, min(ranges, RANGES))
-    shares = [(i + 1) / ranges for i in range(ranges - 1)]
-    bounds = (docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), F.lit(10 * RANGES)).alias("b")).first()["b"] or []) if shares else []
-    bounds = sorted(set(bounds))
-    place = F.when(F.col("doc_id").isNull(), len(bounds)).otherwise(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: F.col("doc_id") < b)) if bounds else F.lit(0))
-    rows = docs.withColumn("range", place.cast("int"))
-    firsts = rows.groupBy("range").agg(F.max("doc_id").alias("first"), F.count("doc_id").alias("n")).orderBy("range").collect()  # a row for each range
-    before = {r["range"]: firsts[k - 1]["range"] for k, r in enumerate(firsts)}
-    heads = [r["first"] for r in firsts if r["first"] is not None]
-    leads = F.col("doc_id").isin(heads) if heads else F.lit(False)
-    if any(r["first"] is None for r in firsts):  # a range of null doc_ids alone
-        leads = leads | F.col("doc_id").isNull()
-    to = F.element_at(F.create_map(*(F.lit(x) for kv in before.items() for x in kv)), F.col("range")) if before else F.lit(0)
-    both = F.array(F.struct(F.col("range"), F.lit(False).alias("guest")), F.struct(to.alias("range"), F.lit(True).alias("guest")))
-    own = F.array(F.struct(F.col("range"), F.lit(False).alias("guest")))
-    return rows.withColumn("_to", F.explode(F.when(F.coalesce(leads, F.lit(False)), both).otherwise(own))).select("doc_id", "text", "_to.range", "_to.guest")
+    """docs(doc_id, text) dealt by (range, guest): ranges of descending doc_id; each range's first rows are also guests of the range before, the first range's of the last.
+
+    Up to QUANTILES bounds are quantiles; beyond that each part between two bounds is split evenly. Of the ranges only (number, first doc_id) is gathered, in one task, and broadcast."""
+    parts = max(1, min(ranges, QUANTILES))
+    shares = [(i + 1) / parts for i in range(parts - 1)]
+    summary = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), *([F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), F.lit(10 * QUANTILES)).alias("b")] if shares else [])).first()
+    low, high = (summary["low"] or 0), (summary["high"] or 0)
+    bounds = sorted(set((summary["b"] or []) if shares else []) - {low})
+    each = -(-ranges // (len(bounds) + 1))
+    edges = F.array(*(F.lit(x).cast("long") for x in [high + 1, *reversed(bounds), low]))
+    part = (F.lit(len(bounds)) - F.size(F.filter(F.array(*(F.lit(x).cast("long") for x in bounds)), lambda x: F.col("doc_id") >= x))) if bounds else F.lit(0)
+    upper, lower = F.get(edges, F.col("_p")), F.get(edges, F.col("_p") + 1)
+    inside = F.floor((upper - 1 - F.col("doc_id")).cast("double") * each / F.greatest((upper - lower).cast("double"), F.lit(1.0)))
+    rows = docs.withColumn("_p", part).withColumn("range", F.when(F.col("doc_id").isNull(), (len(bounds) + 1) * each).otherwise(F.col("_p") * each + F.greatest(F.least(inside, F.lit(each - 1)), F.lit(0))).cast("long")).drop("_p")
+    firsts = rows.groupBy("range").agg(F.max("doc_id").alias("_first"))
+    whole = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = firsts.select(F.col("range").alias("_own"), "_first", F.coalesce(F.lag("range").over(Window.orderBy("range")), F.max("range").over(whole)).alias("_to"))
+    led = rows.join(F.broadcast(firsts), (F.col("range") == F.col("_own")) & F.col("doc_id").eqNullSafe(F.col("_first")), "left")
+    both = F.array(F.struct(F.col("range"), F.lit(False).alias("guest")), F.struct(F.col("_to").alias("range"), F.lit(True).alias("guest")))
+    return led.withColumn("_at", F.explode(F.when(F.col("_own").isNotNull(), both).otherwise(F.slice(both, 1, 1)))).select("doc_id", "text", "_at.range", "_at.guest")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of each row of docs(doc_id, text)."""
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = tasks_for(docs)
     rows = in_ranges(docs, n)
 
     def made(ids: list, texts: list[str]) -> pa.RecordBatch:
@@ -182,7 +193,7 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     order = ["range", "guest", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first()]
-    dealt = rows.repartition(n, "range").sortWithinPartitions(*order)
+    dealt = rows.repartitionById(n, F.col("range").cast("int")).sortWithinPartitions(*order)
     return dealt.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
