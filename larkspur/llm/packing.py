@@ -1,7 +1,7 @@
 """Operator 9: packing token sequences by bounded-space online best-fit.
 
 Documents become pieces of at most `size` ids. Pieces are dealt by a hash and come in order of that
-hash; each goes into the open bin that it fills best, found in a bitset whose bit f says that an
+hash, LOOKAHEAD at a time, of these the longest first; each goes into the open bin that it fills best, found in a bitset whose bit f says that an
 open bin has f free places. At most `open_bins` bins are open: when another is needed, the fullest
 one closes. Each task packs its own bins, so a task holds open_bins numbers and no more.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm.common import map_slices, table
 
-SEQUENCE, OPEN_BINS, END_ID = 2048, 1024, 0
+SEQUENCE, OPEN_BINS, LOOKAHEAD, END_ID = 2048, 1024, 2048, 0
 BYTE_BPE, BYTE_RANKS, SPECIAL = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "<|endoftext|>"
 
 
@@ -105,13 +105,17 @@ class BestFit:
         return number, self.size - free
 
 
-def pack(cut: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS) -> DataFrame:
+def pack(cut: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS, lookahead: int = LOOKAHEAD) -> DataFrame:
     """cut (with a column length) plus sequence_id and offset. Adaptive execution decides how many tasks pack; a sequence lies within one."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fit, first = BestFit(size, open_bins), TaskContext.get().partitionId() << 40
         for batch in batches:
-            put = [fit.put(n) for n in batch.column("length").to_pylist()]
+            lengths = batch.column("length").to_numpy()
+            put: list = [None] * len(lengths)
+            for begin in range(0, len(lengths), lookahead):
+                for i in (np.argsort(-lengths[begin : begin + lookahead], kind="stable") + begin).tolist():
+                    put[i] = fit.put(int(lengths[i]))
             cols = [pa.array([first + n for n, _ in put], pa.int64()), pa.array([o for _, o in put], pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, "sequence_id", "offset"])
 
