@@ -36,11 +36,12 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     at = f"{shared_dir(spark).rstrip('/')}/larkspur-{uuid.uuid4().hex}"
     df.write.parquet(at)
-    atexit.register(_remove, spark, at)
+    atexit.register(remove, spark, at)
     return spark.read.schema(df.schema).parquet(at)
 
 
-def _remove(spark: SparkSession, at: str) -> None:
+def remove(spark: SparkSession, at: str) -> None:
+    """Delete a folder of the shared one, if the session still runs."""
     try:
         path = spark._jvm.org.apache.hadoop.fs.Path(at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -14,6 +14,7 @@ repeated rows is the response and the others are revisits. Further columns are n
 
 from __future__ import annotations
 
+import atexit
 import base64
 import gzip
 import hashlib
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import cut, shared_dir, slices, table
+from larkspur.llm.common import cut, remove, shared_dir, slices, table
 
 ARCHIVE_BYTES, LEVEL, CAPTURED, NO_URL = 64 << 20, 1, "20240101000000", "urn:none"
 #: The fields of an ARC header line by version.
@@ -60,7 +61,11 @@ class Output:
 
     def close(self) -> None:
         self.out.close()
-        self.fs.move(self.held, self.path)
+        try:
+            self.fs.move(self.held, self.path)
+        except OSError:  # a store that moves nothing onto a file: an earlier attempt of the task left it
+            self.fs.delete_file(self.path)
+            self.fs.move(self.held, self.path)
 
 
 def opened(folder: str, name: str) -> io.BufferedReader:
@@ -267,6 +272,7 @@ def archive_pages(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
 
 def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    atexit.register(remove, spark, folder)
     manifest, _ = archive_pages(table(spark, sf_dir, "pages"), folder)
     return read_back(manifest, f"{folder}/warc")
 
