@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm.common import map_slices, table
+from larkspur.llm.common import map_slices, spread, table
 
 WORD_BPE = "word_bpe_49k.json"
 WINDOW = 16
@@ -181,4 +181,4 @@ def encode_documents(docs: DataFrame, path: str | None = None, with_text: bool =
 
 
 def op8_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_documents(table(spark, sf_dir, "documents"))
+    return encode_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))

@@ -18,6 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Inputs under this size are dealt to all cores: they often lie in one row group, which is one task however many cores there are.
+SMALL_BYTES = 32 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt anew if it is small; larger inputs are read as they lie."""
+    stored = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if stored < SMALL_BYTES else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or in tests (where it is unset) a temporary one."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import table
+from larkspur.llm.common import spread, table
 
 K, SHORT, DRIFT, GAP, COVERED, DENSE = 3, 8, 4, 40, 0.6, 0.4
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -103,7 +103,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def op3_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scan(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def _quoted(s: str) -> str:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import map_slices, table
+from larkspur.llm.common import map_slices, spread, table
 
 SEQUENCE, OPEN_BINS, LOOKAHEAD, END_ID = 2048, 1024, 2048, 0
 BYTE_BPE, BYTE_RANKS, SPECIAL = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "<|endoftext|>"
@@ -126,4 +126,4 @@ def pack(cut: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS, looka
 
 
 def op9_bounded_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(pieces(table(spark, sf_dir, "documents")))
+    return pack(pieces(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))))

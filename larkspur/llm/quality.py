@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import table
+from larkspur.llm.common import spread, table
 
 #: Frequent words of four languages.
 COMMON_WORDS = {
@@ -73,7 +73,8 @@ def js_distance(p: Column, q: Column) -> Column:
 def fit_references(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """(lang, char_ref, word_ref), a row for each language of COMMON_WORDS that has labelled rows: the means of the histograms of the fit_rows good rows of smallest doc_id."""
     good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy("doc_id").limit(fit_rows)
-    rows = histograms(docs.select("doc_id", "text", "lang").join(F.broadcast(good), "doc_id", "left_semi").where(F.col("lang").isin(*COMMON_WORDS)))
+    used = docs.select("doc_id", "text", "lang").join(F.broadcast(good), "doc_id", "left_semi").where(F.col("lang").isin(*COMMON_WORDS))
+    rows = histograms(used.repartition(docs.sparkSession.sparkContext.defaultParallelism))  # the few rows lie close together
     rows = rows.where((F.char_length("_text") >= MIN_CHARS) & (F.size("words") >= MIN_WORDS))
     sizes = {"char": len(CLASSES) + 3, "word": 1 + max(len(w.split()) for w in COMMON_WORDS.values())}
     means = {k: F.filter(F.array(*(F.avg(F.get(f"{k}_hist", F.lit(i))) for i in range(n))), lambda x: x.isNotNull()).alias(f"{k}_ref") for k, n in sizes.items()}
@@ -119,7 +120,7 @@ def passing(docs: DataFrame, references: DataFrame) -> DataFrame:
 
 def op7_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    out = with_signals(docs.select("doc_id", "text", "lang"), fit_references(docs, table(spark, sf_dir, "labels")))
+    out = with_signals(spread(docs.select("doc_id", "text", "lang")), fit_references(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import cut, map_slices, table, tile_pairs, tiles
+from larkspur.llm.common import cut, map_slices, spread, table, tile_pairs, tiles
 from larkspur.llm.components import components
 
 WORDS, SEED, DISTANCE, BLOCKS, TILE = 3, 42, 3, 6, 4096
@@ -106,5 +106,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def op6_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import cut, remove, shared_dir, slices, table
+from larkspur.llm.common import cut, remove, shared_dir, slices, spread, table
 
 ARCHIVE_BYTES, LEVEL, CAPTURED, NO_URL = 64 << 20, 1, "20240101000000", "urn:none"
 #: The fields of an ARC header line by version.
@@ -273,7 +273,7 @@ def archive_pages(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
 def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
     atexit.register(remove, spark, folder)
-    manifest, _ = archive_pages(table(spark, sf_dir, "pages"), folder)
+    manifest, _ = archive_pages(spread(table(spark, sf_dir, "pages").select("page_id", "url", "html")), folder)
     return read_back(manifest, f"{folder}/warc")
 
 
