@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or in tests (where it is unset) a temporary one."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = f"file://{tempfile.mkdtemp(prefix='larkspur-shared-')}"
         spark.conf.set("spark.checkpoint.dir", at)
