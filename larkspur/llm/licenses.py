@@ -83,7 +83,8 @@ def scan(docs: DataFrame) -> DataFrame:
     w = Window.partitionBy("row", "t").orderBy("diagonal", "lo")
     df = diagonals(docs)
     long = F.col("words") > SHORT
-    apart = ~long | (F.col("diagonal") - F.lag("diagonal").over(w) > DRIFT) | (F.abs(F.col("lo") - F.lag("hi").over(w)) > GAP)
+    between = F.greatest("lo", F.lag("lo").over(w)) - F.least("hi", F.lag("hi").over(w))  # of words left out the later part comes first
+    apart = ~long | (F.col("diagonal") - F.lag("diagonal").over(w) > DRIFT) | (between > GAP)
     df = df.withColumn("span", F.sum(F.when(apart, 1).otherwise(0)).over(w))
     df = df.groupBy(*keys, "t", "label", "base", "n", "words", "span").agg(F.sum("votes").alias("votes"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     covered = F.when(F.col("t") < 0, 0.0).otherwise(F.least(F.col("votes") / F.col("n"), F.lit(1.0)))

@@ -94,6 +94,17 @@ def test_changed_copies_of_notices(spark):
     assert got[1].score == 1 > got[2].score > got[3].score and got[4].n_base == 2
 
 
+def test_a_word_left_out_anywhere(spark):
+    docs, label_of = [], {}
+    for label, text in licenses.NOTICES:
+        w = re.findall(r"[A-Za-z0-9]+", text)
+        for k in range(len(w) if len(w) > licenses.SHORT else 0):
+            label_of[len(docs)] = label
+            docs.append((len(docs), " ".join(["before"] * 60 + w[:k] + w[k + 1 :] + ["after"] * 60)))
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [(docs[i][1], got[i]) for i in label_of if label_of[i] not in got[i]] == []
+
+
 def test_fingerprints(spark, texts):
     ids = sorted(texts, reverse=True)
     after = {a: texts[b] for a, b in zip(ids, [*ids[1:], ids[0]], strict=True)}
