@@ -60,6 +60,15 @@ def test_clashing_columns(spark, name):
     assert rows(got) == rows(plain)
 
 
+def test_rows_without_or_with_one_doc_id_lose_only_their_own_repeats(spark):
+    line = "a line that three rows have in the same words"
+    texts = [f"{line}\nonly the first row has this line", f"another opening, of the second row\n{line}", f"{line}\n{'of the third: ' * 4}"]
+    for doc_id in (None, 8):
+        rows = [(1, line, "en", None, 1), *((doc_id, t, "en", None, 1) for t in texts), (doc_id, texts[0], "en", None, 1)]
+        got = [(r.doc_id, r.text) for r in lines.drop_lines(documents(spark, rows)).collect()]
+        assert sorted(got, key=str) == sorted([(1, line), (doc_id, texts[0].split("\n")[1]), (doc_id, texts[1].split("\n")[0]), (doc_id, texts[2].split("\n")[1])], key=str)
+
+
 def test_conversations(spark):
     schema = "conv_id long, turn long, role string, text string, k string"
     rows = [(1, 0, "user", None, "x"), (1, 1, "assistant", "", "x"), (1, 1, "assistant", "", "x"), (None, 0, None, "t\\<|im_end|>", "x"), (2, None, "assistant", "<|" * 5000, "x")]
