@@ -298,6 +298,39 @@ def test_lines_of_documents(spark, texts):
     assert all(r.n_lines == texts[r.doc_id].count("\n") + 1 for r in found.itertuples())
 
 
+def test_links_grow_with_length(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    said = {"ab", "ac", "-" * 12, "-" * 13, "x" * 19 + "y", "x" * 20}
+    for n in (8, 14, 30, 75, 80, 120, 199, 204, 230, 420):
+        for _ in range(1 if n > 400 else 2):
+            line = ""
+            while len(line) < n:
+                line += rng.choice(words) + " "
+            line = line[:n]
+            said |= {line, changed(rng, line, 1), changed(rng, line, 2), changed(rng, line, n // 25), changed(rng, line, n // 25 + 1), changed(rng, line, n // 20)}
+            parts = line.split(" ")
+            for k in range(1, 5):
+                at = [rng.randrange(len(parts)) for _ in range(k)]
+                said |= {" ".join(rng.choice(words) if i in at else x for i, x in enumerate(parts)), " ".join(x + " " + rng.choice(words) if i in at else x for i, x in enumerate(parts))}
+    said = sorted(said)
+    most = lambda a, b: max(min(min(len(a), len(b)) // 10, 2), min(len(a), len(b)) // 25)
+    close = [(a, b) for i, a in enumerate(said) for b in said[:i] if abs(len(a) - len(b)) <= most(a, b) and np.abs(lines.bag([a]) - lines.bag([b])).sum() <= 2 * most(a, b)]
+    roots = union([(a, b) for a, b in close if edit_distance(a, b) <= most(a, b)], said)
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    of = {x: xxhash.xxh64_intdigest(x.encode(), 42) & lines.LAST for x in said}
+    for tile in (3, 2048):
+        got = dict(components(lines.links(docs, None, 1, tile)).collect())
+        groups = {}
+        for x in said:
+            groups.setdefault(got.get(of[x], of[x]), set()).add(x)
+        plain = {}
+        for x in said:
+            plain.setdefault(roots[x], set()).add(x)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, plain.values()))
+    assert sum(len(x) > 1 and len(min(x)) > 100 for x in plain.values()) == 9  # each of the long lines has its near copies
+
+
 @pytest.mark.parametrize("name", ["op3_license_diagonals", "op7_quality_divergence"])
 def test_native_plans_have_no_python(spark, name):
     plan = queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
