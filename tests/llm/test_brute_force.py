@@ -331,6 +331,12 @@ def test_links_grow_with_length(spark):
     assert sum(len(x) > 1 and len(min(x)) > 100 for x in plain.values()) == 9  # each of the long lines has its near copies
 
 
+def test_short_lines_are_compared(spark):
+    rows = [(1, "a\n}\n\n--------------\n \nb"), (2, "}\n\nb\n \n-------------\nc")]
+    got = {r.doc_id: r.text for r in lines.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "\n \nc"}
+
+
 @pytest.mark.parametrize("name", ["op3_license_diagonals", "op7_quality_divergence"])
 def test_native_plans_have_no_python(spark, name):
     plan = queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
