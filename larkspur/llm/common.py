@@ -18,14 +18,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Sizes from here on are Spark's way to say that it knows none.
+UNKNOWN_BYTES = 1 << 60
+
+
+def stored_bytes(df: DataFrame) -> int | None:
+    """The size of what df reads, as stored, if Spark knows it."""
+    n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return None if n >= UNKNOWN_BYTES else n
+
+
 #: Inputs under this size are dealt to all cores: they often lie in one row group, which is one task however many cores there are.
 SMALL_BYTES = 32 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
     """df, dealt anew if it is small; larger inputs are read as they lie."""
-    stored = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if stored < SMALL_BYTES else df
+    stored = stored_bytes(df)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if stored is not None and stored < SMALL_BYTES else df
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -86,10 +96,10 @@ def map_slices(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.Rec
 
 
 def tiles(rows: DataFrame, by: str, tile: int) -> DataFrame:
-    """rows(k, n, ...), n the number of rows of k, dealt out: each row gets (i, j), pairs of tiles of k of about `tile` rows each, so that any two rows of k meet under some (k, i, j)."""
+    """rows(k, n, ...), n the number of rows of k, dealt out: each row gets its tile t and (i, j), pairs of tiles of k of about `tile` rows each, so that any two rows of k meet under some (k, i, j)."""
     count = F.ceil(F.col("n") / tile).cast("int")
-    rows = rows.withColumns({"_t": F.pmod(F.xxhash64(by, F.lit(7)), count).cast("int"), "_o": F.explode(F.sequence(F.lit(0), count - 1))})
-    return rows.withColumns({"i": F.least("_t", "_o"), "j": F.greatest("_t", "_o")}).drop("_t", "_o", "n")
+    rows = rows.withColumns({"t": F.pmod(F.xxhash64(by, F.lit(7)), count).cast("int"), "_o": F.explode(F.sequence(F.lit(0), count - 1))})
+    return rows.withColumns({"i": F.least("t", "_o"), "j": F.greatest("t", "_o")}).drop("_o", "n")
 
 
 def tile_pairs(rows: DataFrame, order: list[str], links: Callable[[pa.Table], list[tuple[int, int]]]) -> DataFrame:

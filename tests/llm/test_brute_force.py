@@ -275,16 +275,36 @@ def test_line_links_are_whole(spark, threshold):
                 assert (root.get(ids[i], ids[i]) == root.get(ids[j], ids[j])) == (roots[i] == roots[j])
 
 
+def quick_distance(a, b):
+    """edit_distance(), a row of the table at a time."""
+    other, steps = np.array([ord(c) for c in b]), np.arange(len(b) + 1)
+    row = steps
+    for i, x in enumerate(a, 1):
+        new = np.concatenate(([i], np.minimum(row[1:] + 1, row[:-1] + (other != ord(x)))))
+        row = np.minimum.accumulate(new - steps) + steps
+    return int(row[-1])
+
+
+def most_edits(a, b):
+    n = min(len(a), len(b))
+    return max(min(n // 10, 2), n // 25)
+
+
 def test_lines_of_documents(spark, texts):
     first, seen = {}, []
     for i in sorted(texts):
         for n, x in enumerate(texts[i].split("\n")):
-            if len(x) >= 20:
+            if x.strip(" \t\n\x0b\f\r"):
                 first.setdefault(x, (i, n))
                 seen.append((i, n, x))
     said = list(first)
-    bags = lines.bag(said)
-    pairs = [(said[i], said[j]) for i in range(len(said)) for j in np.flatnonzero(np.abs(bags[:i] - bags[i]).sum(axis=1) <= 4) if edit_distance(said[i], said[j]) <= 2]
+    sizes, bags = np.array([len(x) for x in said]), np.array([[x.count(c) for c in "etaoinsrhldu .,"] for x in said])
+    pairs = []
+    for i, x in enumerate(said):
+        n = np.minimum(sizes[:i], len(x))
+        most = np.maximum(np.minimum(n // 10, 2), n // 25)
+        near = np.flatnonzero((np.abs(sizes[:i] - len(x)) <= most) & (np.abs(bags[:i] - bags[i]).sum(axis=1) <= 2 * most))
+        pairs += [(said[j], x) for j in near if quick_distance(x, said[j]) <= most_edits(x, said[j])]
     roots = union(pairs, said)
     stays = {}
     for x in said:
@@ -296,6 +316,7 @@ def test_lines_of_documents(spark, texts):
     found = result(spark, "op10_segment_edit_join")
     assert {r.doc_id: r.dropped for r in found.itertuples()} == {i: ",".join(drops.get(i, [])) for i in texts}
     assert all(r.n_lines == texts[r.doc_id].count("\n") + 1 for r in found.itertuples())
+    assert any(len(a) > 75 for a, b in pairs)
 
 
 def test_links_grow_with_length(spark):
