@@ -1,23 +1,26 @@
 """Operator 3: licence scans by diagonal voting.
 
 Hashes of all rolling word K-grams of the documents are joined with those of the templates. A match votes
-for the diagonal (word place in the text less word place in the template) on which it lies; votes are counted for each diagonal, neighbouring
-diagonals are merged (words put in or left out move a copy to the next diagonal), and a merged span is
-verified by the share of the template's grams that it holds and by its density. Templates of up to SHORT words must be held
-whole, on one diagonal. Only built-in functions run; the templates are a fixed list, so they are broadcast.
+for the diagonal (word place in the text less word place in the template) on which it lies. Words put in or left out move a copy to a neighbouring
+diagonal, so the diagonals of a longer template are merged in strips as wide as half of the template, in two rows of strips of which one is moved by half a strip: diagonals
+that are a quarter of the template apart, or less, always lie in one strip together. A strip is verified by the share of the template's DIFFERENT grams that
+it holds: a phrase that is repeated counts once. A strip spans one and a half templates at most, so what it holds stands close together and nearly in order. Templates of up to SHORT words must be held
+whole, on one diagonal. Only built-in functions run.
+
+The fixed templates, and further ones up to BROADCAST_GRAMS grams in all, are broadcast; more are joined by a shuffle.
 
 Defined results: a null text is the empty text: no words, no labels (empty strings), null first_word and
-last_word, score 0. Every row is scanned by itself, whatever its doc_id. Further columns are not read.
+last_word, score 0. Every row is scanned by itself, whatever its doc_id. Further columns are not read. Further templates without a text, or of fewer than K words, match nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import spread, table
 
-K, SHORT, DRIFT, GAP, COVERED, DENSE = 3, 8, 4, 40, 0.6, 0.4
+K, SHORT, COVERED, BROADCAST_GRAMS = 3, 8, 0.6, 200_000
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: The base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -58,42 +61,41 @@ def grams(words: str) -> Column:
     return F.when(size >= K, out).otherwise(F.array().cast("array<bigint>"))
 
 
-def templates(spark: SparkSession) -> DataFrame:
-    """A row for each gram of each template: t, label, base, n (grams), words, tpos, gram; and one of t = -1 that every document has."""
+def templates(spark: SparkSession, more: DataFrame | None = None) -> DataFrame:
+    """A row for each gram of each template: t, label, base, n (different grams), words, tpos, gram; and one of t = -1 that every document has. more(label, text) are further templates."""
     listed = [(label, phrase, True) for phrase, label in BASE.items()] + [(label, text, False) for label, text in NOTICES]
-    rows = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(x[0]).alias("label"), F.lit(x[1]).alias("text"), F.lit(x[2]).alias("base")) for t, x in enumerate(listed)))
-    df = spark.range(1).select(F.inline(rows)).withColumn("w", words_of(F.col("text")))
-    df = df.withColumn("g", grams("w")).select("t", "label", "base", F.size("g").alias("n"), F.size("w").alias("words"), F.posexplode("g").alias("tpos", "gram"))
-    return df.unionByName(spark.range(1).select(F.lit(-1).alias("t"), F.lit(None).cast("string").alias("label"), F.lit(False).alias("base"), F.lit(1).alias("n"), F.lit(0).alias("words"), F.lit(-1).alias("tpos"), F.lit(0).cast("long").alias("gram")))
+    rows = F.array(*(F.struct(F.lit(t).cast("long").alias("t"), F.lit(x[0]).alias("label"), F.lit(x[1]).alias("text"), F.lit(x[2]).alias("base")) for t, x in enumerate(listed)))
+    df = spark.range(1).select(F.inline(rows))
+    if more is not None:
+        df = df.unionByName(more.select((F.monotonically_increasing_id() + len(listed)).alias("t"), "label", "text", F.lit(False).alias("base")))
+    df = df.withColumn("w", words_of(F.col("text"))).withColumn("g", grams("w"))
+    df = df.select("t", "label", "base", F.when(F.size("w") <= SHORT, F.size("g")).otherwise(F.size(F.array_distinct("g"))).alias("n"), F.size("w").alias("words"), F.posexplode("g").alias("tpos", "gram"))
+    return df.unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("t"), F.lit(None).cast("string").alias("label"), F.lit(False).alias("base"), F.lit(1).alias("n"), F.lit(0).alias("words"), F.lit(-1).alias("tpos"), F.lit(0).cast("long").alias("gram")))
 
 
-def diagonals(docs: DataFrame) -> DataFrame:
-    """Votes: row, doc_id, n_words, t, label, base, n, words, diagonal, votes, lo and hi (word places of the first and last match). Every row of docs has one of t = -1."""
+def votes(docs: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """row, doc_id, n_words, t, label, base, n, words, row_of and strip (of diagonals), held (different grams, of short templates places) and lo (word place of the first match). Every row of docs has one of t = -1."""
     df = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col("text")).alias("w"))
     df = df.select("row", "doc_id", F.size("w").cast("long").alias("n_words"), F.concat(F.array(F.lit(0).cast("long")), grams("w")).alias("g"))
     df = df.select("row", "doc_id", "n_words", F.posexplode("g").alias("at", "gram"))
-    df = df.join(F.broadcast(templates(docs.sparkSession)), "gram").where("t >= 0 or at = 0")
+    known = templates(docs.sparkSession, more)
+    df = df.join(F.broadcast(known) if more is None or known.count() <= BROADCAST_GRAMS else known, "gram").where("t >= 0 or at = 0")
+    diagonal, half = F.col("at") - 1 - F.col("tpos"), F.greatest(F.floor(F.col("words") / 4), F.lit(1))
+    strip = lambda k, x: F.struct(F.lit(k).alias("row_of"), x.cast("long").alias("strip"))
+    strips = F.when(F.col("words") <= SHORT, F.array(strip(0, diagonal))).otherwise(F.array(strip(0, F.floor(diagonal / (2 * half))), strip(1, F.floor((diagonal + half) / (2 * half)))))
     keys = ["row", "doc_id", "n_words", "t", "label", "base", "n", "words"]
-    return df.groupBy(*keys, (F.col("at") - 1 - F.col("tpos")).alias("diagonal")).agg(F.count("*").alias("votes"), F.min(F.col("at") - 1).alias("lo"), F.max(F.col("at") - 1).alias("hi"))
-
-
-def scan(docs: DataFrame) -> DataFrame:
-    """A row for each row of docs(doc_id, text), with the base places and the labels of all verified spans."""
-    keys = ["row", "doc_id", "n_words"]
-    w = Window.partitionBy("row", "t").orderBy("diagonal", "lo")
-    df = diagonals(docs)
-    long = F.col("words") > SHORT
-    between = F.greatest("lo", F.lag("lo").over(w)) - F.least("hi", F.lag("hi").over(w))  # of words left out the later part comes first
-    apart = ~long | (F.col("diagonal") - F.lag("diagonal").over(w) > DRIFT) | (between > GAP)
-    df = df.withColumn("span", F.sum(F.when(apart, 1).otherwise(0)).over(w))
-    df = df.groupBy(*keys, "t", "label", "base", "n", "words", "span").agg(F.sum("votes").alias("votes"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    covered = F.when(F.col("t") < 0, 0.0).otherwise(F.least(F.col("votes") / F.col("n"), F.lit(1.0)))
-    df = df.withColumn("covered", covered)
-    whole = (F.col("t") >= 0) & (F.col("covered") >= 1.0)
-    verified = whole | ((F.col("words") > SHORT) & (F.col("covered") >= COVERED) & (F.col("votes") / (F.col("hi") - F.col("lo") + 1) >= DENSE))
-    base = F.col("base") & whole
+    item = F.when(F.col("words") <= SHORT, F.col("tpos").cast("long")).otherwise(F.col("gram"))
+    df = df.select(*keys, item.alias("item"), (F.col("at") - 1).alias("place"), F.inline(strips))
+    return df.groupBy(*keys, "row_of", "strip").agg(F.size(F.collect_set("item")).alias("held"), F.min("place").alias("lo"))
+
+
+def scan(docs: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """A row for each row of docs(doc_id, text), with the base places and the labels of all verified strips. more(label, text) are further templates."""
+    df = votes(docs, more).withColumn("covered", F.when(F.col("t") < 0, 0.0).otherwise(F.col("held") / F.col("n")))
+    verified = (F.col("t") >= 0) & (F.col("covered") >= F.when(F.col("words") > SHORT, F.lit(COVERED)).otherwise(F.lit(1.0)))
+    base = F.col("base") & verified
     joined = lambda c: F.array_join(F.sort_array(F.collect_set(F.when(c, F.col("label")))), ",")
-    return df.groupBy(*keys).agg(
+    return df.groupBy("row", "doc_id", "n_words").agg(
         F.count(F.when(base, 1)).alias("n_base"),
         F.min(F.when(base, F.col("lo"))).cast("long").alias("first_word"),
         F.max(F.when(base, F.col("lo"))).cast("long").alias("last_word"),
@@ -117,16 +119,17 @@ _WORDS = r"list_filter(regexp_split_to_array(lower(replace({}, 'K', 'Å')), '[\x
 OP3_SQL = f"""
 WITH listed(t, label, text, base) AS (VALUES {_VALUES}),
 tw AS (SELECT *, {_WORDS.format("text")} AS w FROM listed),
-tg AS (SELECT t, label, base, len(w) AS words, len(w) - 2 AS n, i AS tpos, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM tw)),
+tk AS (SELECT t, label, base, len(w) AS words, i AS tpos, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM tw)),
+tg AS (SELECT *, count(DISTINCT (a, b, c)) OVER (PARTITION BY t) AS n FROM tk),
 d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 g AS (SELECT r, i AS pos, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM d)),
-v AS (SELECT r, t, label, base, words, n, pos - tpos AS diagonal, count(*) AS votes, min(pos) - 1 AS lo, max(pos) - 1 AS hi FROM g JOIN tg USING (a, b, c) GROUP BY ALL),
-s AS (SELECT *, CASE WHEN words <= {SHORT} OR coalesce(diagonal - lag(diagonal) OVER o > {DRIFT}, false) OR coalesce(abs(lo - lag(hi) OVER o) > {GAP}, false) THEN 1 ELSE 0 END AS apart FROM v WINDOW o AS (PARTITION BY r, t ORDER BY diagonal, lo)),
-m AS (SELECT r, t, label, base, words, n, span, sum(votes) AS votes, min(lo) AS lo, max(hi) AS hi FROM (SELECT *, sum(apart) OVER (PARTITION BY r, t ORDER BY diagonal, lo) AS span FROM s) GROUP BY ALL),
-x AS (SELECT *, least(votes / n, 1.0) AS covered FROM m),
+h AS (SELECT r, t, label, base, words, n, pos, pos - tpos AS diagonal, greatest(words // 4, 1) AS half, (a, b, c) AS gram FROM g JOIN tg USING (a, b, c)),
+v AS (SELECT r, t, label, base, words, n, pos, gram, 0 AS row_of, CASE WHEN words <= {SHORT} THEN diagonal ELSE floor(diagonal / (2 * half)) END AS strip FROM h
+    UNION ALL SELECT r, t, label, base, words, n, pos, gram, 1, floor((diagonal + half) / (2 * half)) FROM h WHERE words > {SHORT}),
+x AS (SELECT r, label, base, words, count(DISTINCT gram) / n AS covered, min(pos) - 1 AS lo FROM v GROUP BY r, t, label, base, words, n, row_of, strip),
 y AS (SELECT r, count(*) FILTER (base AND covered >= 1) AS n_base, min(lo) FILTER (base AND covered >= 1) AS first_word, max(lo) FILTER (base AND covered >= 1) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND covered >= 1) AS base_labels,
-    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (covered >= 1 OR words > {SHORT} AND covered >= {COVERED} AND votes / (hi - lo + 1) >= {DENSE}) AS labels, max(covered) AS score FROM x GROUP BY r)
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (covered >= CASE WHEN words > {SHORT} THEN {COVERED} ELSE 1 END) AS labels, max(covered) AS score FROM x GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
 FROM d LEFT JOIN y USING (r)
 """
