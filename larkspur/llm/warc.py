@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm.common import cut, remove, shared_dir, slices, spread, table
 
-ARCHIVE_BYTES, LEVEL, CAPTURED, NO_URL = 64 << 20, 1, "20240101000000", "urn:none"
+ARCHIVE_BYTES, MOST_TASKS, LEVEL, CAPTURED, NO_URL = 64 << 20, 100_000, 1, "20240101000000", "urn:none"
 #: The fields of an ARC header line by version.
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -99,8 +99,22 @@ class ArcRecord:
     version: int
 
 
-def read_arc(stream: io.BufferedReader) -> Iterator[ArcRecord]:
-    """The records after the version block. Header lines have the fields that the version block names."""
+#: Fixed value: what the date of a record looks like.
+DATE = re.compile(r"[0-9]{14}")
+
+
+def arc_header(line: bytes, fields: list[str]) -> dict[str, str] | None:
+    """The fields of an ARC header line, or None if it is none. Only the URL may hold spaces."""
+    values = line.decode(errors="replace").rstrip("\r\n").rsplit(" ", len(fields) - 1)
+    got = dict(zip(fields, values, strict=False))
+    good = len(values) == len(fields) and got["URL"] and got["Archive-length"].isdecimal() and DATE.fullmatch(got["Archive-date"])
+    return got if good else None
+
+
+def read_arc(stream: io.BufferedReader, bad: list[bytes] | None = None) -> Iterator[ArcRecord]:
+    """The records after the version block. Header lines have the fields that the version block names.
+
+    A line that is no header where one must stand, or a body that ends too soon, is an error; with `bad` it is put there, and reading goes on at the next header line."""
     first = stream.readline()
     if not first.startswith(b"filedesc://"):
         raise ValueError("an ARC archive begins with a version block")
@@ -110,15 +124,16 @@ def read_arc(stream: io.BufferedReader) -> Iterator[ArcRecord]:
     if version not in ARC_FIELDS:
         raise ValueError(f"ARC version {version} is not known")
     while line := stream.readline():
-        if line == b"\n":
+        if line in (b"\n", b"\r\n"):
+            continue
+        got, body = arc_header(line, fields), b""
+        if got is not None:
+            body = stream.read(n := int(got["Archive-length"]))
+        if got is None or len(body) != n:
+            if bad is None:
+                raise ValueError(f"not a header line of ARC version {version}: {line[:200]!r}" if got is None else f"an ARC record declares {n} bytes and has {len(body)}")
+            bad.append(line)
             continue
-        values = line.decode().rstrip("\n").split(" ")
-        if len(values) != len(fields):
-            raise ValueError(f"an ARC header line of version {version} has {len(fields)} fields: {line[:200]!r}")
-        got = dict(zip(fields, values, strict=True))
-        body = stream.read(n := int(got["Archive-length"]))
-        if len(body) != n:
-            raise ValueError(f"an ARC record declares {n} bytes and has {len(body)}")
         yield ArcRecord(got, body, version)
 
 
@@ -156,6 +171,12 @@ def record_id(archive: str, place: int) -> str:
     return str(uuid.uuid5(uuid.NAMESPACE_URL, f"arc:{archive}#{place}"))
 
 
+def tasks_of(rows: DataFrame, archives: int) -> int:
+    """Tasks for so many archives: about two for each, so that hashing seldom puts several together, up to MOST_TASKS. Given outright, since adaptive execution would merge them by the size of the metadata."""
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(2 * archives, max(usual, MOST_TASKS)))
+
+
 def write_arc(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write pages(page_id, url, html) as ARC archives; gives a metadata row for each record."""
 
@@ -183,7 +204,7 @@ def write_arc(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES)
     return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, "page_id long, digest string, archive string, place int")
 
 
-def convert(decided: DataFrame, arc_folder: str, warc_folder: str) -> DataFrame:
+def convert(decided: DataFrame, arc_folder: str, warc_folder: str, tasks: int) -> DataFrame:
     """Convert each archive to WARC. decided(archive, place, r_archive, r_place, r_page): the record that a revisit refers to, else nulls. Gives (warc, records)."""
 
     def one(archive: str, decisions: Iterator[tuple]) -> tuple[str, int]:
@@ -222,7 +243,7 @@ def convert(decided: DataFrame, arc_folder: str, warc_folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["warc", "records"])
             row = ahead[0]
 
-    return decided.select("archive", "place", "r_archive", "r_place", "r_page").repartition("archive").sortWithinPartitions("archive", "place").mapInArrow(run, "warc string, records long")
+    return decided.select("archive", "place", "r_archive", "r_place", "r_page").repartition(tasks, "archive").sortWithinPartitions("archive", "place").mapInArrow(run, "warc string, records long")
 
 
 def read_back(manifest: DataFrame, warc_folder: str) -> DataFrame:
@@ -255,7 +276,7 @@ def read_back(manifest: DataFrame, warc_folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got, strict=True), kinds, strict=True)], names=names)
 
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    return manifest.repartition("warc").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return manifest.repartition(tasks_of(manifest, manifest.count()), "warc").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def archive_pages(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -267,7 +288,8 @@ def archive_pages(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
     firsts = cut(firsts.select("digest", F.col("r.archive").alias("r_archive"), F.col("r.place").alias("r_place"), F.col("r.page_id").alias("r_page")))
     again = (F.col("r_archive") != F.col("archive")) | (F.col("r_place") != F.col("place"))
     decided = made.join(firsts, "digest", "left").select("archive", "place", *(F.when(again, F.col(c)).alias(c) for c in ("r_archive", "r_place", "r_page")))
-    return cut(convert(decided, arc, warc)), made
+    archives = made.select("archive").distinct().count()
+    return cut(convert(decided, arc, warc, tasks_of(made, archives))), made
 
 
 def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
