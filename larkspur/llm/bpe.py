@@ -8,8 +8,13 @@ is left of and right of that belongs to a seam. A seam's text is re-encoded as o
 chunk by chunk until it begins and ends at white space. There the ids agree exactly with those of the
 whole text, since the tokenizer lets no word, contraction or special token reach across white space.
 
+Text without white space is one long word to the tokenizer (Chinese, for instance). A word of more than LONG characters is
+cut into chunks of its own, by a rolling hash of its bytes. Each is encoded once, and joins are repaired: a window of ids around the join is
+encoded anew and grows until the ids at both of its borders agree with their neighbours. A list of ids is the byte-pair
+encoding of its bytes exactly if every two ids that follow each other are the encoding of their two strings, so the result is that of the whole word.
+
 Nothing is shuffled: ids weigh more than the work they save, and every worker meets the common
-chunks. Both stores are bounded (they are emptied when full), results do not depend on them.
+chunks. The stores are bounded in bytes, however long words are (they are emptied when full), and long words are not stored whole; results do not depend on what is stored.
 
 Defined results: a null text is the empty text, with no ids and the SHA-256 of nothing; every row is
 encoded by itself, so ties, repeated rows, null doc_ids and further columns change nothing.
@@ -33,7 +38,10 @@ WORD_BPE = "word_bpe_49k.json"
 WINDOW = 16
 #: Chunks have 2**CHUNK_BITS characters in the mean, MOST_CHARS at most.
 CHUNK_BITS, MOST_CHARS = 10, 8192
-STORE_CHUNK_CHARS, STORE_WORDS = 8 << 20, 200_000
+#: Words of more characters are encoded by chunks of 2**LONG_BITS bytes in the mean.
+LONG, LONG_BITS, LONG_MOST = 256, 8, 2048
+#: Bytes that a worker's stores may hold, as counted by stored().
+STORE_BYTES = 96 << 20
 #: Characters at which every tokenizer used here parts words; other white space is left to the tokenizer.
 BREAKS = str.maketrans("\n\t\r", "   ")
 
@@ -70,6 +78,11 @@ PLAIN = re.compile("[^\n\x21-\x7e\xa1-\xff]|<\\|")
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\n|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
+def stored(*texts: str | bytes) -> int:
+    """Bytes that a store's entry takes, about: strings take 50 bytes besides their characters, and up to 4 for each of those."""
+    return 100 + sum(50 + len(t) * (1 if isinstance(t, bytes) or t.isascii() else 4) for t in texts)
+
+
 class ChunkEncoder:
     """Encodes texts exactly as the tokenizer does, by chunks and words that it has met before.
 
@@ -90,6 +103,7 @@ class ChunkEncoder:
         chars += [b for b in range(256) if b not in chars]
         byte = {chr(b if k < 188 else 68 + k): b for k, b in enumerate(chars)}
         ranks = {bytes(byte[c] for c in w.removesuffix("</w>")) + b"\0" * w.endswith("</w>"): i for w, i in vocab.items() if i not in special}
+        self.byte, self.bytes_of = byte, {i: w for w, i in ranks.items()}
         self.fast = tiktoken.Encoding("word_bpe", pat_str="[^\\x00]+\\x00", mergeable_ranks=ranks, special_tokens={})
         self.names = [self.tokenizer.id_to_token(i) or "" for i in range(max(vocab.values()) + 1)]
         self.numbers = list(map(str, range(len(self.names))))
@@ -97,32 +111,85 @@ class ChunkEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.ids, self.decoded, self.chunks, self.chunk_chars = {"": ""}, {"": ""}, {}, 0
+        self.ids, self.decoded, self.chunks, self.pieces, self.agreed, self.held = {"": ""}, {"": ""}, {}, {}, {}, 0
+
+    def agree(self, a: int, b: int) -> bool:
+        """Whether two ids are the encoding of their strings."""
+        found = self.agreed.get((a, b))
+        if found is None:
+            found = self.agreed[a, b] = self.fast._encode_single_piece(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            self.held += 200
+        return found
+
+    def join(self, left: list[int], right: list[int]) -> None:
+        """Append right to left; what does not agree around the join is encoded anew."""
+        if not left or not right or self.agree(left[-1], right[0]):
+            left += right
+            return
+        i, j = 1, 1
+        while True:
+            new = self.fast._encode_single_piece(b"".join(self.bytes_of[t] for t in [*left[-i:], *right[:j]]))
+            before, after = i == len(left) or self.agree(left[-i - 1], new[0]), j == len(right) or self.agree(new[-1], right[j])
+            if before and after:
+                left[-i:] = [*new, *right[j:]]
+                return
+            i, j = (i if before else min(len(left), 2 * i)), (j if after else min(len(right), 2 * j))
+
+    def long_word(self, word: str) -> list[int]:
+        """The ids of a word of any length, by chunks of the words that the tokenizer's own rules make of it."""
+        out: list[int] = []
+        for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(word)):
+            data, own, begin = bytes(self.byte[c] for c in part) + b"\0", [], 0
+            if self.held > 2 * STORE_BYTES:  # words of this call stay
+                self.pieces, self.agreed = {}, {}
+            for end in cut_places(data.decode("latin-1"), LONG_BITS, LONG_MOST):
+                piece, begin = data[begin:end], end
+                ids = self.pieces.get(piece)
+                if ids is None:
+                    ids = self.pieces[piece] = self.fast._encode_single_piece(piece)
+                    self.held += stored(piece) + 40 * len(ids)
+                self.join(own, ids)
+            out += own
+        return out
 
-    def learn(self, words: set[str]) -> None:
-        new = list(words - self.ids.keys())
+    def learn(self, words: set[str], once: dict[str, tuple[str, str]]) -> None:
+        """Encode the words that are not in the store; the long ones go to `once`."""
+        new = [w for w in words - self.ids.keys() if len(w) <= LONG]
+        number, name = self.numbers.__getitem__, self.names.__getitem__
+        for w in words - self.ids.keys():
+            if len(w) > LONG and "<|" in w:  # a special token may be in it
+                ids = self.tokenizer.encode(w, add_special_tokens=False).ids
+                once[w] = (" ".join(map(str, ids)), self.tokenizer.decode(ids, skip_special_tokens=False))
+            elif len(w) > LONG:
+                ids = self.long_word(w)
+                once[w] = (" ".join(map(number, ids)), " ".join(map(name, ids)))
         if not new:
             return
+        before = len(self.ids)
         if PLAIN.search(joined := "\n".join(new)):
             slow = [w for w in new if PLAIN.search(w)]
             ids = [e.ids for e in self.tokenizer.encode_batch(slow, add_special_tokens=False)]
             self.ids.update((w, " ".join(map(str, i))) for w, i in zip(slow, ids, strict=True))
             self.decoded.update(zip(slow, self.tokenizer.decode_batch(ids, skip_special_tokens=False), strict=True))
-            joined = "\n".join(new := [w for w in new if not PLAIN.search(w)])
-        if new:
+            self.held += sum(stored(w, self.ids[w], self.decoded[w]) for w in slow)
+            joined = "\n".join(plain := [w for w in new if not PLAIN.search(w)])
+        else:
+            plain = new
+        if plain:
             found = self.fast.encode_ordinary("\0".join(WORDS.findall(joined.lower())) + "\0")
             ends = [*np.flatnonzero(np.array(found) == self.line_end).tolist(), len(found)]
-            begin, number, name = 0, self.numbers.__getitem__, self.names.__getitem__
-            for word, end in zip(new, ends, strict=True):
+            begin = 0
+            for word, end in zip(plain, ends, strict=True):
                 part, begin = found[begin:end], end + 1
                 self.ids[word] = " ".join(map(number, part))
                 self.decoded[word] = " ".join(map(name, part))
+            self.held += 500 * (len(self.ids) - before)  # strings of up to LONG characters of Latin-1, most of them short
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """For each text the number of ids, the ids as decimal text, and the decoded text."""
-        if len(self.ids) > STORE_WORDS or self.chunk_chars > STORE_CHUNK_CHARS:
+        if self.held > STORE_BYTES:
             self.forget()
-        plans, inner, needed = [], {}, set()
+        plans, inner, needed, once = [], {}, set(), {}
         for text in texts:
             plan, seam, begin = [], "", 0
             for end in cut_places(text):
@@ -141,15 +208,16 @@ class ChunkEncoder:
                 seam = ends[1]
             needed.add(seam)
             plans.append((plan, seam))
-        self.learn(needed)
+        self.learn(needed, once)
+        looks = [lambda w, k=k, store=store: once[w][k] if len(w) > LONG else store[w] for k, store in enumerate((self.ids, self.decoded))]
         for chunk, (head, tail, words, whole) in inner.items():
-            core = tuple(" ".join(filter(None, map(look, words))) for look in (self.ids.__getitem__, self.decoded.__getitem__))
+            core = tuple(" ".join(filter(None, map(look, words))) for look in looks)
             self.chunks[chunk] = (head, tail, core, whole)
-            self.chunk_chars += len(chunk)
+            self.held += stored(chunk, head, tail, *core)
         out = []
         for plan, seam in plans:
             both = []
-            for k, look in enumerate((self.ids.__getitem__, self.decoded.__getitem__)):
+            for k, look in enumerate(looks):
                 parts = [x for at, chunk in plan for x in (look(at), self.chunks[chunk][2][k])]
                 both.append(" ".join(filter(None, [*parts, look(seam)])))
             out.append((both[0].count(" ") + bool(both[0]), *both))
