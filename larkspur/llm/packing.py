@@ -1,7 +1,7 @@
 """Operator 9: packing token sequences by bounded-space online best-fit.
 
 Documents become pieces of at most `size` ids. Pieces are dealt by a hash and come in order of that
-hash, LOOKAHEAD at a time, of these the longest first; each goes into the open bin that it fills best, found in a bitset whose bit f says that an
+hash. Packing is online but for a look-ahead: LOOKAHEAD pieces at a time are put the longest first (lookahead=1 puts each as it comes). Each goes into the open bin that it fills best, found in a bitset whose bit f says that an
 open bin has f free places. At most `open_bins` bins are open: when another is needed, the fullest
 one closes. Each task packs its own bins, so a task holds open_bins numbers and no more.
 
@@ -110,19 +110,34 @@ def pack(cut: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS, looka
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fit, first = BestFit(size, open_bins), TaskContext.get().partitionId() << 40
-        for batch in batches:
-            lengths = batch.column("length").to_numpy()
+
+        def placed(part: pa.Table) -> Iterator[pa.RecordBatch]:
+            lengths = part.column("length").to_numpy()
             put: list = [None] * len(lengths)
-            for begin in range(0, len(lengths), lookahead):
-                for i in (np.argsort(-lengths[begin : begin + lookahead], kind="stable") + begin).tolist():
-                    put[i] = fit.put(int(lengths[i]))
+            for i in np.argsort(-lengths, kind="stable").tolist():
+                put[i] = fit.put(int(lengths[i]))
             cols = [pa.array([first + n for n, _ in put], pa.int64()), pa.array([o for _, o in put], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, "sequence_id", "offset"])
+            yield from pa.table([*part.columns, *cols], names=[*part.schema.names, "sequence_id", "offset"]).combine_chunks().to_batches()
+
+        held: list[pa.RecordBatch] = []
+        rows = 0
+        for batch in batches:  # a look-ahead reaches over the borders of batches, so their size changes nothing
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= lookahead:
+                whole = pa.Table.from_batches(held)
+                while rows >= lookahead:
+                    yield from placed(whole.slice(0, lookahead))
+                    whole, rows = whole.slice(lookahead), rows - lookahead
+                held = whole.to_batches()
+        if rows:
+            yield from placed(pa.Table.from_batches(held))
 
     cut = cut.drop("sequence_id", "offset")
     key = [F.xxhash64("doc_id", "piece"), F.col("doc_id"), F.col("piece"), F.col("ids_crc32")]
     schema = ", ".join(f"`{n}` {t}" for n, t in [*cut.dtypes, ("sequence_id", "long"), ("offset", "long")])
-    return cut.repartition("doc_id", "piece").sortWithinPartitions(*key).mapInArrow(run, schema)
+    salt = F.monotonically_increasing_id()  # repeated rows, and those without doc_id, are dealt out like others
+    return cut.repartition("doc_id", "piece", salt).sortWithinPartitions(*key).mapInArrow(run, schema)
 
 
 def op9_bounded_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
