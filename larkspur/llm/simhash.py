@@ -42,14 +42,15 @@ def simhash(text: str, words: int = WORDS, seed: int = SEED) -> int:
     return int(np.packbits(bits * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits as a signed number."""
+def fingerprints(docs: DataFrame, *keys: str) -> DataFrame:
+    """The long columns `keys` (doc_id if none is named) and fp, the 64 bits as a signed number, of each row."""
+    keys = keys or ("doc_id",)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.array([simhash(t or "") for t in batch.column("text").to_pylist()], dtype=np.uint64)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(found.view(np.int64))], names=[*keys, "fp"])
 
-    return map_slices(docs.select("doc_id", "text"), "text", run, "doc_id long, fp long")
+    return map_slices(docs.select(*keys, "text"), "text", run, ", ".join(f"{k} long" for k in keys) + ", fp long")
 
 
 def block_keys(fp: str, distance: int = DISTANCE, blocks: int = BLOCKS) -> F.Column:
@@ -105,6 +106,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.join(placed, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
+def repeats(docs: DataFrame) -> DataFrame:
+    """(_row) of the rows of numbered docs(_row, doc_id, text) that are not the first of their group: each row is a document by itself, and comes by its doc_id (null last), then by its number."""
+    rows = cut(fingerprints(docs, "_row", "doc_id"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    nodes = cut(rows.groupBy("fp").agg(F.min("_row").alias("node"), F.min(first).alias("first")))
+    roots = cut(nodes.join(components(links(nodes.select("node", "fp"))), "node", "left").select("fp", "first", F.coalesce("root", "node").alias("root")))
+    firsts = cut(roots.groupBy("root").agg(F.min("first").alias("of")))
+    kept = cut(roots.join(firsts, "root").select("fp", F.col("of._row").alias("stays")))
+    return rows.join(kept, "fp").where(F.col("_row") != F.col("stays")).select("_row")
+
+
 def op6_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
