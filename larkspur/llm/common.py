@@ -102,6 +102,32 @@ def tiles(rows: DataFrame, by: str, tile: int) -> DataFrame:
     return rows.withColumns({"i": F.least("t", "_o"), "j": F.greatest("t", "_o")}).drop("_o", "n")
 
 
+def meeting_rows(rows: DataFrame) -> DataFrame:
+    """rows(k, node) whose k another row has too; equal rows count once. One shuffle; one row is held beside a batch, however many have a key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, marked = None, False
+        out = lambda k, node: pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(node, pa.int64())], names=["k", "node"])
+        for batch in batches:
+            k, node = (batch.column(n).to_numpy() for n in ("k", "node"))
+            if held is not None:
+                k, node = np.concatenate(([held[0]], k)), np.concatenate(([held[1]], node))
+            new = np.ones(len(k), dtype=bool)
+            new[1:] = (k[1:] != k[:-1]) | (node[1:] != node[:-1])
+            k, node = k[new], node[new]
+            same, keep = k[1:] == k[:-1], np.zeros(len(k), dtype=bool)
+            keep[0] = marked and held is not None
+            keep[1:] |= same
+            keep[:-1] |= same
+            held, marked = (k[-1], node[-1]), bool(keep[-1])
+            if keep[:-1].any():
+                yield out(k[:-1][keep[:-1]], node[:-1][keep[:-1]])
+        if marked:
+            yield out([held[0]], [held[1]])
+
+    return rows.select("k", "node").repartition("k").sortWithinPartitions("k", "node").mapInArrow(run, "k long, node long")
+
+
 def tile_pairs(rows: DataFrame, order: list[str], links: Callable[[pa.Table], list[tuple[int, int]]]) -> DataFrame:
     """(a, b) of all links(rows of a (k, i, j)). One (k, i, j) is held at a time."""
     keys = ["k", "i", "j"]

@@ -7,12 +7,13 @@ of a fingerprint is a random bit of the character at its place. The places depen
 that two lengths mostly share them (the last record of a random sequence up to that length). Unlike characters agree in
 half of the bits, so likeness is the share of equal bits, stretched from 0.5..1 to 0..1.
 
-near_duplicates() samples bands of bits, joins on them, and verifies by likeness of whole fingerprints.
+near_duplicates() samples bands of bits, joins on them, and verifies by likeness of whole fingerprints. A band has some bits more than it takes to number the
+fingerprints, so that unlike ones seldom share it, and there are as many bands as find a pair of likeness LIKE with a chance of RECALL, more like ones with a higher one.
 
 For the query documents are dealt by ranges of doc_id, so that a document and the next one meet in a task; of each range only
 the first document is sent twice.
 
-Defined results: a null text is the empty text, whose fingerprint is all zeros. Documents with equal doc_id
+Defined results: class_id is the least doc_id of the class; rows without doc_id are in none (null), rows that share a doc_id are one document with several texts. A null text is the empty text, whose fingerprint is all zeros. Documents with equal doc_id
 follow each other by text (null first); null doc_ids come after all others. Each row of the input gives a row.
 A single document is its own next. Further columns are not read.
 """
@@ -20,6 +21,7 @@ A single document is its own next. Further columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,17 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import cut, map_slices, table, tile_pairs, tiles
+from larkspur.llm.common import cut, map_slices, meeting_rows, spread, stored_bytes, table, tile_pairs, tiles
 from larkspur.llm.components import components
 
 BITS, SEED = 512, 20240229
 #: A task gets a range of doc_id and holds POOL_CHARS characters at a time.
 QUANTILES, TASK_BYTES, POOL_CHARS, BLOCK = 1024, 64 << 20, 12_000_000, 512
-#: Sizes from here on are Spark's way to say that it knows none.
-UNKNOWN_BYTES = 1 << 60
 #: Stands behind each text while it is walked: a code point that no text has. The pointer stays on it.
 STOP = "\ud800"
-BANDS, BAND_BITS, LIKE, TILE = 24, 32, 0.8, 4096
+LIKE, RECALL, LEAST_BITS, TILE = 0.8, 0.96, 24, 4096
 
 
 @lru_cache(maxsize=1)
@@ -126,13 +126,13 @@ def edited(text: str, after: str) -> str:
 
 def tasks_for(docs: DataFrame) -> int:
     """As many tasks as the session shuffles to, or more if each would get over TASK_BYTES of the input as stored."""
-    stored = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    stored = stored_bytes(docs)
     usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return usual if stored >= UNKNOWN_BYTES else max(usual, -(-stored // TASK_BYTES))
+    return usual if stored is None else max(usual, -(-stored // TASK_BYTES))
 
 
-def in_ranges(docs: DataFrame, ranges: int) -> DataFrame:
-    """docs(doc_id, text) dealt by (range, guest): ranges of descending doc_id; each range's first rows are also guests of the range before, the first range's of the last.
+def in_ranges(docs: DataFrame, ranges: int, classes: DataFrame | None = None) -> DataFrame:
+    """docs(doc_id, text) dealt by (range, guest); rows of classes(doc_id, class_id) go to the ranges of their doc_ids, with `told` set: ranges of descending doc_id; each range's first rows are also guests of the range before, the first range's of the last.
 
     Up to QUANTILES bounds are quantiles; beyond that each part between two bounds is split evenly. Of the ranges only (number, first doc_id) is gathered, in one task, and broadcast."""
     parts = max(1, min(ranges, QUANTILES))
@@ -145,56 +145,63 @@ def in_ranges(docs: DataFrame, ranges: int) -> DataFrame:
     part = (F.lit(len(bounds)) - F.size(F.filter(F.array(*(F.lit(x).cast("long") for x in bounds)), lambda x: F.col("doc_id") >= x))) if bounds else F.lit(0)
     upper, lower = F.get(edges, F.col("_p")), F.get(edges, F.col("_p") + 1)
     inside = F.floor((upper - 1 - F.col("doc_id")).cast("double") * each / F.greatest((upper - lower).cast("double"), F.lit(1.0)))
+    docs = docs.withColumn("class_id", F.lit(None).cast("long")).withColumn("told", F.lit(False))
+    if classes is not None:
+        docs = docs.unionByName(classes.select("doc_id", F.lit(None).cast("string").alias("text"), "class_id", F.lit(True).alias("told")))
     rows = docs.withColumn("_p", part).withColumn("range", F.when(F.col("doc_id").isNull(), (len(bounds) + 1) * each).otherwise(F.col("_p") * each + F.greatest(F.least(inside, F.lit(each - 1)), F.lit(0))).cast("long")).drop("_p")
-    firsts = rows.groupBy("range").agg(F.max("doc_id").alias("_first"))
+    firsts = rows.where("not told").groupBy("range").agg(F.max("doc_id").alias("_first"))
     whole = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     firsts = firsts.select(F.col("range").alias("_own"), "_first", F.coalesce(F.lag("range").over(Window.orderBy("range")), F.max("range").over(whole)).alias("_to"))
-    led = rows.join(F.broadcast(firsts), (F.col("range") == F.col("_own")) & F.col("doc_id").eqNullSafe(F.col("_first")), "left")
+    led = rows.join(F.broadcast(firsts), (F.col("range") == F.col("_own")) & F.col("doc_id").eqNullSafe(F.col("_first")) & ~F.col("told"), "left")
     both = F.array(F.struct(F.col("range"), F.lit(False).alias("guest")), F.struct(F.col("_to").alias("range"), F.lit(True).alias("guest")))
-    return led.withColumn("_at", F.explode(F.when(F.col("_own").isNotNull(), both).otherwise(F.slice(both, 1, 1)))).select("doc_id", "text", "_at.range", "_at.guest")
+    return led.withColumn("_at", F.explode(F.when(F.col("_own").isNotNull(), both).otherwise(F.slice(both, 1, 1)))).select("doc_id", "text", "_at.range", "_at.guest", "class_id", "told")
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of each row of docs(doc_id, text)."""
+def with_next(docs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and class_id (from classes, one row a doc_id) of each row of docs(doc_id, text)."""
     n = tasks_for(docs)
-    rows = in_ranges(docs, n)
+    rows = in_ranges(docs, n, classes)
 
-    def made(ids: list, texts: list[str]) -> pa.RecordBatch:
+    def made(ids: list, texts: list[str], class_of: dict) -> pa.RecordBatch:
         """Of all texts but the last, which is only a next one."""
         after = [edited(a, b) for a, b in zip(texts, texts[1:], strict=False)]
         prints = embed([*texts, *after])
         a, b, c = prints[: len(ids)], prints[len(texts) :], prints[1 : len(texts)]
         hexes = lambda p: pa.array([x.tobytes().hex() for x in p], pa.string())
-        cols = [pa.array(ids, pa.int64()), pa.array([len(t) for t in texts[:-1]], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in after], pa.string()), hexes(a), hexes(b), pa.array(likeness(a, b)), pa.array(likeness(a, c))]
+        cols = [pa.array(ids, pa.int64()), pa.array([len(t) for t in texts[:-1]], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in after], pa.string()), hexes(a), hexes(b), pa.array(likeness(a, b)), pa.array(likeness(a, c)), pa.array([class_of.get(i) for i in ids], pa.int64())]
         return pa.RecordBatch.from_arrays(cols, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list = []
         texts: list[str] = []
         chars, place = 0, None
+        class_of: dict = {}
         for batch in batches:
-            for doc_id, text, at, guest in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "range", "guest")), strict=True):
+            for doc_id, text, at, guest, class_id, told in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "range", "guest", "class_id", "told")), strict=True):
                 text = text or ""
                 if at != place:
                     if ids:
                         raise ValueError("a range has no guest")
-                    place = at
+                    place, class_of = at, {}
+                if told:  # before the range's texts
+                    class_of[doc_id] = class_id
+                    continue
                 if guest:
                     if ids:  # the first guest is the next of the range's last row
-                        yield made(ids, [*texts, text])
+                        yield made(ids, [*texts, text], class_of)
                         ids, texts, chars = [], [], 0
                     continue
                 if chars >= POOL_CHARS:
-                    yield made(ids, [*texts, text])
+                    yield made(ids, [*texts, text], class_of)
                     ids, texts, chars = [], [], 0
                 ids.append(doc_id)
                 texts.append(text)
                 chars += len(text)
 
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    order = ["range", "guest", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first()]
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "class_id"]
+    order = ["range", F.col("told").desc(), "guest", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first()]
     dealt = rows.repartitionById(n, F.col("range").cast("int")).sortWithinPartitions(*order)
-    return dealt.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return dealt.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, class_id long")
 
 
 def forest(prints: np.ndarray, nodes: np.ndarray, like: float) -> list[tuple[int, int]]:
@@ -212,12 +219,15 @@ def forest(prints: np.ndarray, nodes: np.ndarray, like: float) -> list[tuple[int
     return out
 
 
-def near_duplicates(docs: DataFrame, like: float = LIKE, bands: int = BANDS, band_bits: int = BAND_BITS, tile: int = TILE) -> DataFrame:
-    """(doc_id, class_id) of each row of docs(doc_id, text) that has a doc_id: class_id is the least doc_id linked by fingerprints that are `like` each other and share a band.
+def bands_for(prints: int, like: float = LIKE, recall: float = RECALL) -> tuple[int, int]:
+    """(bands, bits of each) for so many fingerprints."""
+    bits, differ = max(LEAST_BITS, prints.bit_length() + 4), math.floor((1 - like) / 2 * BITS)
+    chance = math.prod((BITS - differ - i) / (BITS - i) for i in range(bits))  # that a band holds none of the bits that differ
+    return math.ceil(math.log(1 - recall) / math.log1p(-chance)), bits
 
-    Equal fingerprints are one node. A band is band_bits sampled bits: two prints of likeness 0.9 share one of 24 bands of 32 with a chance of 0.99."""
-    rng = np.random.default_rng(SEED + 1)
-    picks = [np.sort(rng.choice(BITS, band_bits, replace=False)) for _ in range(bands)]
+
+def near_duplicates(docs: DataFrame, like: float = LIKE, recall: float = RECALL, tile: int = TILE) -> DataFrame:
+    """(doc_id, class_id) of each doc_id of docs(doc_id, text): class_id is the least doc_id linked by fingerprints that are `like` each other and share a band. Equal fingerprints are one node."""
 
     def prints_of(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = embed([t or "" for t in batch.column("text").to_pylist()])
@@ -225,26 +235,32 @@ def near_duplicates(docs: DataFrame, like: float = LIKE, bands: int = BANDS, ban
 
     rows = cut(map_slices(docs.select("doc_id", "text").where("doc_id is not null"), "text", prints_of, "doc_id long, print binary"))
     nodes = cut(rows.groupBy("print").agg(F.min("doc_id").alias("node")))
+    bands, band_bits = bands_for(nodes.count(), like, recall)
+    rng = np.random.default_rng(SEED + 1)
+    picks = [np.sort(rng.choice(BITS, band_bits, replace=False)) for _ in range(bands)]
 
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = np.int64(1) << np.arange(band_bits, dtype=np.int64)
         for batch in batches:
             bits = np.unpackbits(np.frombuffer(b"".join(batch.column("print").to_pylist()), dtype=np.uint8).reshape(-1, BITS // 8), axis=1)
             for b, pick in enumerate(picks):
-                held = np.packbits(bits[:, pick], axis=1)
-                keys = [int.from_bytes(hashlib.blake2b(bytes([b]) + x.tobytes(), digest_size=8).digest(), "little", signed=True) for x in held]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("node"), batch.column("print")], names=["k", "node", "print"])
+                keys = (np.int64(b) << np.int64(band_bits)) | (bits[:, pick] @ powers)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("node")], names=["k", "node"])
 
-    keyed = nodes.mapInArrow(keys_of, "k long, node long, print binary")
-    sizes = keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
-    dealt = tiles(keyed.join(sizes, "k"), "node", tile)
+    met = cut(meeting_rows(nodes.mapInArrow(keys_of, "k long, node long")))
+    sizes = met.groupBy("k").agg(F.count("*").alias("n"))
+    dealt = tiles(met.join(sizes, "k"), "node", tile).join(nodes, "node").select("k", "i", "j", "node", "print")
 
     def of(held: pa.Table) -> list[tuple[int, int]]:
         prints = np.frombuffer(b"".join(held.column("print").to_pylist()), dtype=np.uint8).reshape(-1, BITS // 8)
         return forest(prints, held.column("node").to_numpy(), like)
 
-    placed = nodes.join(components(tile_pairs(dealt, ["node"], of)), "node", "left").select("print", F.coalesce("root", "node").alias("class_id"))
-    return rows.join(cut(placed), "print").select("doc_id", "class_id")
+    shared = rows.groupBy("doc_id").agg(F.min("print").alias("x"), F.max("print").alias("y")).where("x <> y").select("doc_id")
+    by_id = rows.join(shared, "doc_id").join(nodes, "print").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    placed = nodes.join(components(tile_pairs(dealt, ["node"], of).unionByName(by_id)), "node", "left").select("print", F.coalesce("root", "node").alias("class_id"))
+    return rows.join(cut(placed), "print").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 
 
 def op5_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_next(docs, cut(near_duplicates(spread(docs))))
