@@ -38,7 +38,9 @@ BITS, SEED = 512, 20240229
 QUANTILES, TASK_BYTES, POOL_CHARS, BLOCK = 1024, 64 << 20, 12_000_000, 512
 #: Stands behind each text while it is walked: a code point that no text has. The pointer stays on it.
 STOP = "\ud800"
-LIKE, RECALL, LEAST_BITS, TILE = 0.8, 0.96, 24, 4096
+LIKE, RECALL, TILE = 0.8, 0.96, 4096
+#: A band has EXTRA_BITS + BITS_EACH * log2(fingerprints) bits. Unlike texts agree in 0.535 of the bits, so with 1.11 (1 / log2(1 / 0.535)) chance meetings grow as the fingerprints do.
+EXTRA_BITS, BITS_EACH = 6, 1.11
 
 
 @lru_cache(maxsize=1)
@@ -221,7 +223,7 @@ def forest(prints: np.ndarray, nodes: np.ndarray, like: float) -> list[tuple[int
 
 def bands_for(prints: int, like: float = LIKE, recall: float = RECALL) -> tuple[int, int]:
     """(bands, bits of each) for so many fingerprints."""
-    bits, differ = max(LEAST_BITS, prints.bit_length() + 4), math.floor((1 - like) / 2 * BITS)
+    bits, differ = math.ceil(EXTRA_BITS + BITS_EACH * math.log2(max(prints, 2))), math.floor((1 - like) / 2 * BITS)
     chance = math.prod((BITS - differ - i) / (BITS - i) for i in range(bits))  # that a band holds none of the bits that differ
     return math.ceil(math.log(1 - recall) / math.log1p(-chance)), bits
 
