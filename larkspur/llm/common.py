@@ -6,6 +6,8 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -51,12 +53,31 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+_HELD: ContextVar[list[str] | None] = ContextVar("held", default=None)
+
+
+@contextmanager
+def held_scratch(spark: SparkSession) -> Iterator[None]:
+    """What cut() writes inside is removed at the end: for work whose result is written before it."""
+    made: list[str] = []
+    token = _HELD.set(made)
+    try:
+        yield
+    finally:
+        _HELD.reset(token)
+        for at in made:
+            remove(spark, at)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: df is written as Parquet to the shared folder and read from there. What is written is removed when the driver's process ends."""
-    spark = df.sparkSession
+    """Cut the lineage: df is written as Parquet to the shared folder and read from there. What is written is removed at the end of held_scratch(), else when the driver's process ends."""
+    spark, made = df.sparkSession, _HELD.get()
     at = f"{shared_dir(spark).rstrip('/')}/larkspur-{uuid.uuid4().hex}"
+    if made is None:
+        atexit.register(remove, spark, at)
+    else:
+        made.append(at)
     df.write.parquet(at)
-    atexit.register(remove, spark, at)
     return spark.read.schema(df.schema).parquet(at)
 
 
