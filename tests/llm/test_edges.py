@@ -1,6 +1,10 @@
 """Every operator on nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import hashlib
+
 import pytest
+import public_tokenizers
+from tokenizers import Tokenizer
 
 from larkspur.llm import bpe, chat, fingerprints, licenses, lines, packing, pii, quality, simhash, warc
 from larkspur.llm.common import shared_dir
@@ -44,6 +48,48 @@ def test_odd_rows(spark, name):
     assert len(found) == len(DOCS) if each else len(found) <= 60
 
 
+def by_row(found, *names):
+    """Values by (doc_id, whether the text is null or how it begins) are not told apart by these operators, so rows are compared as a whole."""
+    return sorted((tuple(r[n] for n in names) for r in found.collect()), key=repr)
+
+
+def test_values_of_odd_rows(spark):
+    docs, empty = documents(spark), hashlib.sha256(b"").hexdigest()
+    odd = TEXTS[6]
+    at = odd.index("10.0.0.1")
+    spans = f"email:{odd.index('x@y.org')}:{odd.index('x@y.org') + 7},ip:{at}:{at + 8}"
+    found = by_row(pii.find(docs), "doc_id", "n_email", "n_ip", "n_card", "n_phone", "spans")
+    assert found == sorted([(i, 0, 0, 0, 0, "") for i in (0, 1, 2, 3, 4, 4, 5)] + [(6, 1, 1, 0, 0, spans), (None, 0, 0, 0, 0, ""), (None, 0, 0, 0, 0, "")], key=repr)
+    assert {r.base_sha256 for r in pii.find(docs).collect() if r.n_email == 0} == {empty}
+    words = {0: 0, 1: 0, 2: 0, 3: 1, 4: 120, 5: 17}
+    found = by_row(licenses.scan(docs), "doc_id", "n_words", "n_base", "first_word", "labels", "score")
+    assert [x for x in found if x[0] in words] == sorted([(i, words[i], 0, None, "", 0.0) for i in (0, 1, 2, 3, 4, 4, 5)], key=repr) and all(x[2:] == (0, None, "", 0.0) for x in found)
+    found = by_row(simhash.near_duplicates(docs), "doc_id", "fp", "component_id")
+    assert [x for x in found if x[0] in (0, 1, 2)] == [(0, 0, 0), (1, 0, 0), (2, 0, 0)] and all(x[2] is None for x in found if x[0] is None) and all(x[2] == x[0] for x in found if x[0] in (3, 4, 5, 6))
+    found = by_row(quality.with_signals(docs, references(spark)), "doc_id", "n_words", "word_chars", "n_dup_lines", "n_repeat_words", "base_failed")
+    repeated = (4, 120, 300, 0, 120, True)
+    assert found == sorted([(0, 0, 0, 0, 0, True), (1, 0, 0, 0, 0, True), (2, 0, 0, 0, 0, True), (3, 1, 60_000, 0, 0, True), repeated, repeated, (5, 17, len(TEXTS[5].replace(" ", "").replace("\n", "")), 0, 0, True), (6, 7, len(odd.replace(" ", "")), 0, 0, True), (None, 3, 8, 0, 0, True), (None, 0, 0, 0, 0, True)], key=repr)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(bpe.WORD_BPE))
+    want = lambda t: len(tokenizer.encode(t or "", add_special_tokens=False).ids)
+    assert by_row(bpe.encode_documents(docs), "doc_id", "n_tokens") == sorted([(r[0], want(r[1])) for r in DOCS], key=repr)
+    packed = packing.pack(packing.pieces(docs)).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.BYTE_BPE))
+    assert sum(r.length for r in packed) == sum(1 + len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) for r in DOCS)
+    kept = by_row(lines.drop_lines(docs.select("doc_id", "text")), "doc_id", "text")
+    first = "Words in a line that is long enough."  # its second line differs in one character
+    assert kept == sorted([(0, None), (1, ""), (2, TEXTS[2]), (3, TEXTS[3]), (4, TEXTS[4]), (5, f"{first}\n\nshort"), (6, odd), (None, "no id here"), (None, None)], key=repr)
+    assert by_row(pii.redact(docs), "doc_id", "text", "n_chars")[0:2] == sorted([(0, None, None), (1, "", 0)], key=repr)
+
+
+def test_a_very_long_text(spark):
+    long = "one line of many words, and no two are alike: " + " ".join(str(i * i) for i in range(60_000))
+    docs = documents(spark, [(1, long, "en", None, 1), (2, long + "\nand a line of its own", "en", None, 1)])
+    assert len(long) > 500_000
+    assert [(r.doc_id, r.text) for r in lines.drop_lines(docs.select("doc_id", "text")).collect()] == [(1, long), (2, "and a line of its own")]
+    (a, b) = sorted(fingerprints.with_next(docs.select("doc_id", "text"), fingerprints.near_duplicates(docs)).collect(), key=lambda r: r.doc_id)
+    assert (a.n_chars, b.n_chars, a.class_id, b.class_id) == (len(long), len(long) + 22, 1, 1)
+
+
 @pytest.mark.parametrize("name", OPERATORS)
 def test_no_rows(spark, name):
     assert OPERATORS[name][0](spark, documents(spark, [])).collect() == []
