@@ -85,7 +85,7 @@ def test_a_very_long_text(spark):
     long = "one line of many words, and no two are alike: " + " ".join(str(i * i) for i in range(60_000))
     docs = documents(spark, [(1, long, "en", None, 1), (2, long + "\nand a line of its own", "en", None, 1)])
     assert len(long) > 500_000
-    assert [(r.doc_id, r.text) for r in lines.drop_lines(docs.select("doc_id", "text")).collect()] == [(1, long), (2, "and a line of its own")]
+    assert sorted((r.doc_id, r.text) for r in lines.drop_lines(docs.select("doc_id", "text")).collect()) == [(1, long), (2, "and a line of its own")]
     (a, b) = sorted(fingerprints.with_next(docs.select("doc_id", "text"), fingerprints.near_duplicates(docs)).collect(), key=lambda r: r.doc_id)
     assert (a.n_chars, b.n_chars, a.class_id, b.class_id) == (len(long), len(long) + 22, 1, 1)
 
