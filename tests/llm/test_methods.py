@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from larkspur.llm import bpe, chat, fingerprints, licenses, lines, packing, pii, quality, simhash, warc
@@ -305,6 +306,49 @@ def test_keys_of_many_lines_are_held_in_bounded_space(monkeypatch):
     assert len(told) > 900 and (meeting.state[0] == 77).sum() == 1 and not list(meeting.pairs())
 
 
+def test_gram_keys_are_dealt_to_rounds(spark):
+    docs = spark.createDataFrame([(" ".join(str(i * j) for j in range(60)),) for i in range(400)], "text string")
+
+    def keys(*part):
+        out = []
+        for r in lines.packed_keys(docs, 64, *part).where("n > 0").collect():
+            steps, _, cls, place, tag = lines._unpack(r.blob, r.n, lines.KEY_COLUMNS)
+            out += zip([r.bucket] * r.n, np.cumsum(steps, dtype=np.uint64).tolist(), cls.tolist(), place.tolist(), tag.tolist(), strict=True)
+        return sorted(out)
+
+    parts = [keys(a, a + 16) for a in range(0, 64, 16)]
+    assert sorted(x for p in parts for x in p) == keys() and all(0.5 < len(p) / len(parts[0]) < 2 for p in parts)
+
+
+def test_rows_as_stored_are_numbered_without_a_copy(spark, tmp_path):
+    for k in range(3):
+        spark.createDataFrame([(k, f"{k} {i}") for i in range(5)], "doc_id long, text string").coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/docs")
+    docs = spark.read.parquet(f"file://{tmp_path}/docs")
+    rows = lines.numbered(docs.select("doc_id", "text"))
+    assert set(x.rsplit("/", 1)[0] for x in rows.inputFiles()) == {f"file://{tmp_path}/docs"}
+    found = {(r._row >> 40, r._row & (1 << 40) - 1, r.text[2:]) for r in rows.collect()}
+    assert {(a, b) for a, b, _ in found} == {(a, b) for a in range(3) for b in range(5)} and all(str(b) == t for _, b, t in found)
+    assert lines.numbered(docs.unionByName(docs)).select("_row").distinct().count() == 30
+
+
+def test_likeness_across_tiles_is_told_once(spark):
+    bag = bytes([3] * lines.BINS)
+    met = spark.createDataFrame([(1, i, 2000) for i in range(2000)], "k long, ref long, n long")
+    rows = lines.tiles(met, "ref", 100).selectExpr("k", "i", "j", "t", "100 AS size", "ref AS id").withColumn("bag", F.lit(bytearray(bag)))
+    edges = [tuple(r) for r in lines.alike(rows).collect()]
+    root = {i: i for i in range(2000)}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        root[find(a)] = find(b)
+    assert len({find(i) for i in range(2000)}) == 1 and len(edges) < 2000 + 20 * 20
+
+
 def test_long_distances_in_a_band():
     rng = random.Random(6)
     for _ in range(300):
