@@ -143,6 +143,22 @@ def test_templates_that_look_further_back():
     assert [t.rewrites for t in chat.spans([("user", "x|a"), ("assistant", "y|b"), ("user", "c")], last_only)[1]] == [False, True, True]
 
 
+def test_long_conversations_under_templates_that_look_back():
+    def titled(messages):  # what each assistant turn adds depends on whether the first turn was a system turn
+        system = bool(messages) and messages[0][0] == "system"
+        return "".join(f"{chat.START}{r}\n{'!' if system and r == 'assistant' and k > 12 else ''}{chat.escape(t)}{chat.END}\n" for k, (r, t) in enumerate(messages))
+
+    messages = [("system", "s")] + [(("user", "assistant")[i % 2], f"turn {i}") for i in range(4 * chat.WINDOW)]
+    r = chat.Reader(titled)
+    for m in messages:
+        r.add(m)
+    whole, turns = chat.spans(messages, titled)
+    assert [whole[t.content_start : t.content_end] for t in turns] == [t for _, t in messages]
+    said = [t for role, t in messages if role == "assistant"]
+    n, _, loss_chars, loss, chars = r.result()
+    assert (n, chars, loss_chars, loss) == (len(messages), len(titled(messages)), sum(map(len, said)), hashlib.sha256("".join(said).encode()).hexdigest())
+
+
 # 5: fingerprints
 
 
