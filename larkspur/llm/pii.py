@@ -1,11 +1,12 @@
 """Operator 1: personal data, by patterns and by a linear-chain conditional random field.
 
-The patterns find the base spans. The field labels the tokens around digits and @ signs by word shapes of the
+The patterns find the base spans. The field labels all tokens of every line by word shapes of the
 token and of its neighbours, and adds the spans that no base span touches: numbers written in other ways, spelt-out
 addresses, secrets. It is trained on the driver from a small labelled table (a list of examples made by
 rule from a fixed seed) and decoded by Viterbi over padded numpy batches. Its weights are a few hundred kB whatever the input.
 
-A segment (the tokens around triggers of a line) is decoded whole, however long; no span reaches over the end of its segment.
+A line is decoded whole, however long; no span reaches over its end. Scores are made once for each pattern of shapes. They bound what any span over
+a token may gain over no span there, so most tokens are known to be outside before Viterbi; it runs over the rest, with the labels that it has over the whole line.
 
 Defined results: a null text is the empty text, without spans (empty strings, the digest of the empty string). Every
 row is read by itself, so ties, repeated rows, null doc_ids and further columns change nothing.
@@ -85,15 +86,17 @@ def written(spans: list[Span]) -> str:
 
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\s]")
 TRIGGER = re.compile(r"[0-9@]|\[at\]|\(at\)")
+WHITE = re.compile(r"\s")
+MAIL = re.compile(r"(?:@|\bat\b).*(?:\.|\bdot\b)", re.I | re.S)
 #: Words that say something by themselves; of others only the shape counts.
 CUES = frozenset("at dot token key secret password tel phone call fax card visa ip host address mail email e mailto version page chapter isbn year vol no nr".split())
 CONTEXT = 4
-#: Tokens whose features are held at once; tokens that are decoded side by side.
-PART, BATCH = 4096, 65_536
+#: Tokens whose features are held at once; tokens that are decoded side by side; characters that are split into tokens at once; patterns of shapes whose scores a worker remembers.
+PART, BATCH, GROUP, PATTERNS = 4096, 65_536, 1 << 20, 1 << 17
 
 
 def segments(text: str) -> list[list[tuple[str, int, int]]]:
-    """Tokens (with their places) of the lines that hold a trigger: CONTEXT tokens before and after each, neighbouring ones together. None reaches over the end of its line."""
+    """Tokens (with their places) of the lines that hold a trigger: CONTEXT tokens before and after each, neighbouring ones together. None reaches over the end of its line. The operator looks at whole lines instead."""
     out, seen = [], -1
     for hit in TRIGGER.finditer(text):
         if hit.start() <= seen:
@@ -146,13 +149,60 @@ def features(tokens: list[tuple[str, int, int]], begin: int = 0, end: int | None
     gap = [("_" if tokens[i][1] > tokens[i - 1][2] else "") if 0 < i < len(tokens) else "|" for i in range(begin, end + 1)]
     out = []
     for i in range(begin, end):
-        a, b, c, d, e = s[i - begin : i - begin + 5]
-        x, y = gap[i - begin], gap[i - begin + 1]
         near = [f"cue{k - i}:{tokens[k][0].lower()}" for k in range(max(0, i - 4), min(len(tokens), i + 3)) if tokens[k][0].lower() in CUES]
-        out.append(["bias", f"0:{c}", f"-1:{b}{x}", f"+1:{y}{d}", f"-2:{a}", f"+2:{e}", f"-10:{b}{x}{c}", f"01:{c}{y}{d}", f"-101:{b}{x}{c}{y}{d}", f"-2-10:{a} {b}{x}{c}", f"012:{c}{y}{d} {e}", *near])
+        out.append([*pattern(*s[i - begin : i - begin + 5], gap[i - begin], gap[i - begin + 1]), *near])
     return out
 
 
+def pattern(a: str, b: str, c: str, d: str, e: str, x: str, y: str) -> list[str]:
+    """Features of a token of shape c among its neighbours' shapes; x and y say whether white space stands before and behind it."""
+    return ["bias", f"0:{c}", f"-1:{b}{x}", f"+1:{y}{d}", f"-2:{a}", f"+2:{e}", f"-10:{b}{x}{c}", f"01:{c}{y}{d}", f"-101:{b}{x}{c}{y}{d}", f"-2-10:{a} {b}{x}{c}", f"012:{c}{y}{d} {e}"]
+
+
+class Vocabulary(dict):
+    """Number of each token's shape, plus 1 << 7 for each step of its cue's number, if it is one. Seldom tokens are not kept for ever."""
+
+    def __init__(self) -> None:
+        self.shapes = ["<1", "<2", ">1", ">2"]
+        self.cues = ["", *sorted(CUES)]
+
+    def __missing__(self, token: str) -> int:
+        said = shape(token)
+        if said not in self.shapes:
+            self.shapes.append(said)
+        lower = token.lower()
+        if len(self) >= PATTERNS:
+            self.clear()
+        self[token] = code = self.shapes.index(said) | (self.cues.index(lower) << 7 if lower in CUES else 0)
+        return code
+
+
+#: What \s of a pattern is.
+SPACES = np.array([i for i in range(0x3001) if chr(i).isspace()], dtype=np.uint32)
+SPACE = np.zeros(0x3002, dtype=bool)
+SPACE[SPACES] = True
+
+
+def tokens_of(text: str, codes: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, starts, ends and line numbers of all tokens of a text."""
+    parts: list[tuple[np.ndarray, ...]] = []
+    begin = lines = 0
+    while begin < len(text):
+        end = len(text)
+        if end - begin > GROUP and (m := WHITE.search(text, begin + GROUP)):
+            end = m.end()
+        said = text[begin:end]
+        tokens = TOKEN.findall(said)
+        chars = np.frombuffer(said.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        solid, broken = np.flatnonzero(~SPACE[np.minimum(chars, 0x3001)]), np.cumsum(chars == 10)
+        sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        last = np.cumsum(sizes)  # all but white space belongs to a token
+        start = solid[last - sizes]
+        parts.append((np.fromiter(map(codes.__getitem__, tokens), dtype=np.int64, count=len(tokens)), start + begin, solid[last - 1] + 1 + begin, broken[start] + lines))
+        begin, lines = end, lines + int(broken[-1])
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
+
+
 # The labelled table
 
 def labelled_table(seed: int = 11, rows: int = 700) -> list[list[tuple[str, str]]]:
@@ -217,6 +267,109 @@ class Field:
 
     def __init__(self, index: dict[str, int], weights: np.ndarray, moves: np.ndarray):
         self.index, self.weights, self.moves = index, weights, moves
+        self.codes, self.seen = Vocabulary(), {}
+        self.scores, self.gains = np.zeros((0, len(LABELS))), np.zeros(0)
+        # by how much moves may gain, at most: into and out of a span, and from one token of it to the next
+        kinds = [(LABELS.index(f"B-{k}"), LABELS.index(f"I-{k}")) for k in MORE_KINDS]
+        begins, insides = [b for b, _ in kinds], [b for pair in kinds for b in pair]
+        enter = max(0.0, (moves[:, begins] - moves[:, :1]).max())
+        leave = max(0.0, (moves[np.ix_(insides, [0, *begins])] - moves[:1, [0, *begins]]).max())
+        self.step = max(moves[x, i] for b, i in kinds for x in (b, i)) - moves[0, 0]
+        self.ends = enter + leave - self.step
+
+    def __reduce__(self):
+        return Field, (self.index, self.weights, self.moves)
+
+    def known(self, keys: np.ndarray) -> np.ndarray:
+        """The rows of scores of patterns of shapes; those that are new are made."""
+        if len(self.seen) > PATTERNS:
+            self.seen, self.scores, self.gains = {}, self.scores[:0], self.gains[:0]
+        new = [k for k in keys.tolist() if k not in self.seen]
+        if new:
+            shapes, gaps = self.codes.shapes, ("", "_", "|")
+            rows = self.local([pattern(*(shapes[k >> 7 * i & 127] for i in range(5)), gaps[k >> 35 & 3], gaps[k >> 37]) for k in new])
+            self.seen.update(zip(new, range(len(self.scores), len(self.scores) + len(new)), strict=True))
+            self.scores, self.gains = np.concatenate((self.scores, rows)), np.concatenate((self.gains, rows[:, 1:].max(axis=1) - rows[:, 0]))
+        return np.array([self.seen[k] for k in keys.tolist()], dtype=np.int64)
+
+    def spans(self, text: str) -> list[Span]:
+        """The spans of the likeliest labels of each line."""
+        code, start, end, line = tokens_of(text, self.codes)
+        n = len(code)
+        if not n:
+            return []
+        # two empty places between lines would do the same as these masks, for more memory
+        same1 = np.concatenate(([False], line[1:] == line[:-1], [False]))  # [i]: the tokens i - 1 and i share a line
+        same2 = np.concatenate(([False, False], line[2:] == line[:-2], [False, False]))[: n + 2]  # [i]: i - 2 and i do
+        c = np.concatenate(([0, 0], code & 127, [0, 0]))
+        gap = np.concatenate(([2], np.where(same1[1:n], start[1:] > end[:-1], 2), [2]))
+        a = np.where(same2[:n], c[:n], np.where(same1[:n], 0, 1))
+        b = np.where(same1[:n], c[1 : n + 1], 0)
+        d = np.where(same1[1:], c[3 : n + 3], 2)
+        e = np.where(same2[2:], c[4:], np.where(same1[1:], 2, 3))
+        keys, of = np.unique(a | b << 7 | c[2 : n + 2] << 14 | d << 21 | e << 28 | gap[:n] << 35 | gap[1:] << 37, return_inverse=True)
+        row = self.known(keys)[of]
+        gain, more, at = self.gains[row], np.zeros((0, len(LABELS))), np.zeros(0, dtype=np.int64)
+        cues = np.flatnonzero(code >> 7)
+        if len(cues):  # what cue words add to the tokens around them
+            to, feature = [], []
+            for k in range(-4, 3):
+                near = cues[(cues - k >= 0) & (cues - k < n)]
+                near = near[line[near] == line[near - k]]
+                to.append(near - k)
+                feature.append((k + 4) * len(self.codes.cues) + (code[near] >> 7))
+            to, feature = np.concatenate(to), np.concatenate(feature)
+            at, of = np.unique(to, return_inverse=True)
+            more = self.scores[row[at]].copy()
+            np.add.at(more, of, self.cue_scores()[feature])
+            gain[at] = more[:, 1:].max(axis=1) - more[:, 0]
+        total = np.concatenate(([0.0], np.cumsum(gain + self.step)))
+        most = np.maximum.accumulate(total[::-1])[::-1][1:] - np.minimum.accumulate(total)[:-1]  # of all spans over a token, lines taken for one
+        open_ = np.flatnonzero(most + self.ends > -1e-6)
+        if not len(open_):
+            return []
+        return self.settle(open_, self.scores[row[open_]], more, at, line, start, end)
+
+    def settle(self, open_: np.ndarray, local: np.ndarray, more: np.ndarray, at: np.ndarray, line: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[Span]:
+        """Viterbi over the tokens that may be inside a span; in a line, those beside them are outside."""
+        if len(at):
+            where = np.minimum(np.searchsorted(at, open_), len(at) - 1)
+            local = np.where((at[where] == open_)[:, None], more[where], local)
+        cuts = np.flatnonzero((np.diff(open_) > 1) | (line[open_[1:]] != line[open_[:-1]])) + 1
+        outside = np.full((1, len(LABELS)), NEVER)
+        outside[0, 0] = 0
+        pieces = []  # places in open_, whether an outside token stands before, scores
+        for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(open_)], strict=True):
+            i, j = open_[x], open_[y - 1]
+            before, behind = int(i > 0 and line[i - 1] == line[i]), int(j + 1 < len(line) and line[j + 1] == line[j])
+            pieces.append((x, y, before, np.concatenate([*[outside] * before, local[x:y], *[outside] * behind])))
+        pieces.sort(key=lambda p: len(p[3]))
+        labels = np.zeros(len(open_), dtype=np.int64)
+        begin = 0
+        while begin < len(pieces):
+            stop = begin + 1
+            while stop < len(pieces) and (stop - begin + 1) * len(pieces[stop][3]) <= BATCH:
+                stop += 1
+            for (x, y, before, _), found in zip(pieces[begin:stop], self.viterbi([p[3] for p in pieces[begin:stop]]), strict=True):
+                labels[x:y] = found[before : before + y - x]
+            begin = stop
+        out: list[Span] = []
+        for p in np.flatnonzero(labels).tolist():
+            name, i = LABELS[labels[p]], open_[p]
+            if name[0] == "B":
+                out.append((name[2:], int(start[i]), int(end[i])))
+            else:  # follows its own kind in this line
+                out[-1] = (*out[-1][:2], int(end[i]))
+        return out
+
+    def cue_scores(self) -> np.ndarray:
+        """(place from -4 to 2 and cue, labels): weights of the cue features."""
+        out = np.zeros((7 * len(self.codes.cues), len(LABELS)))
+        for k in range(7):
+            for i, cue in enumerate(self.codes.cues):
+                if (f := self.index.get(f"cue{k - 4}:{cue}")) is not None:
+                    out[k * len(self.codes.cues) + i] = self.weights[f]
+        return out
 
     def local(self, tokens: list[list[str]]) -> np.ndarray:
         """(tokens, labels): the sums of the weights of each token's features. Unknown features count for nothing."""
@@ -323,30 +476,26 @@ def trained() -> Field:
 
 
 def field_spans(texts: list[str], field: Field) -> list[list[Span]]:
-    """What the field finds in each text, in order. A span lies within a segment, so within a line."""
-    pieces = [(i, s) for i, t in enumerate(texts) for s in segments(t)]
-    order = sorted(range(len(pieces)), key=lambda p: len(pieces[p][1]))
-    labels: list[list[int]] = [[] for _ in pieces]
+    """What the field finds in each text, in order, over all tokens of every line. A span lies within a line. Short texts are taken together."""
+    out: list[list[Span]] = [[] for _ in texts]
     begin = 0
-    while begin < len(order):
-        end = begin + 1
-        while end < len(order) and (end - begin + 1) * len(pieces[order[end]][1]) <= BATCH:
+    while begin < len(texts):
+        end, held = begin + 1, len(texts[begin])
+        while end < len(texts) and held + len(texts[end]) <= GROUP:
+            held += len(texts[end]) + 1
             end += 1
-        for p, found in zip(order[begin:end], field.label([pieces[p][1] for p in order[begin:end]]), strict=True):
-            labels[p] = found
+        first = np.cumsum([0, *(len(t) + 1 for t in texts[begin : end - 1])])
+        for kind, s, e in field.spans("\n".join(texts[begin:end])):
+            i = int(np.searchsorted(first, s, side="right")) - 1
+            out[begin + i].append((kind, s - int(first[i]), e - int(first[i])))
         begin = end
-    out: list[list[Span]] = [[] for _ in texts]
-    for (i, tokens), own in zip(pieces, labels, strict=True):
-        for (_, s, e), y in zip(tokens, own, strict=True):
-            if LABELS[y][0] == "B":
-                out[i].append((LABELS[y][2:], s, e))
-            elif LABELS[y][0] == "I":  # follows its own kind in this segment
-                out[i][-1] = (*out[i][-1][:2], e)
     return out
 
 
 def sound(kind: str, found: str) -> bool:
-    """Whether a number that the field calls a card passes the checksum, and an address has four parts up to 255."""
+    """Whether a number that the field calls a card passes the checksum, an address has four parts up to 255, and a mail address an at and a dot behind it."""
+    if kind == "email":
+        return MAIL.search(found) is not None
     parts = DIGITS.findall(found)
     if kind == "card":
         return 12 <= sum(map(len, parts)) <= 19 and luhn("".join(parts))
@@ -354,7 +503,7 @@ def sound(kind: str, found: str) -> bool:
 
 
 def all_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
-    """(base spans, all spans) of each text. The field's spans that touch a base span are left out, and so are its cards and addresses whose numbers can't be such."""
+    """(base spans, all spans) of each text. The field's spans that touch a base span are left out, and so are its cards and addresses that can't be such."""
     out = []
     for text, more in zip(texts, field_spans(texts, field), strict=True):
         base = base_spans(text)

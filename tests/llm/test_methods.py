@@ -68,6 +68,40 @@ def test_segments_have_no_length_limit():
     assert labels == field.decode([pii.features(whole)])[0]
 
 
+def test_all_tokens_of_a_line_are_looked_at():
+    trained, rng, noise = pii.trained(), random.Random(4), np.random.default_rng(4)
+    pool = ["tel", "or", "Page", "03", "489", "@", "x@y.org", "[at]", "key", "1999", "a", "call", "+1 (212)", "token", "***", "der.", "é", "²", "\u0663", "dot", "com", "At", "\x85", "\xa0", "abcdef"]
+    texts = ["\n".join(rng.choice([" ", "", "  "]).join(rng.choice(pool) for _ in range(rng.randint(0, 30))) for _ in range(rng.randint(1, 6))) for _ in range(150)] + ["", "\n\n"]
+    for scale in (0, 0.3, 1, 3):  # also with weights by which spans lie anywhere, and long ones
+        field = pii.Field(trained.index, trained.weights + scale * noise.normal(size=trained.weights.shape), trained.moves + scale * noise.normal(size=trained.moves.shape))
+        found, plain = pii.field_spans(texts, field), []
+        for text in texts:
+            begin, own = 0, []
+            for line in text.split("\n"):
+                tokens = [(m[0], m.start() + begin, m.end() + begin) for m in pii.TOKEN.finditer(line)]
+                for (_, s, e), y in zip(tokens, field.label([tokens])[0] if tokens else [], strict=True):
+                    if pii.LABELS[y][0] == "B":
+                        own.append((pii.LABELS[y][2:], s, e))
+                    elif y:
+                        own[-1] = (*own[-1][:2], e)
+                begin += len(line) + 1
+            plain.append(own)
+        assert found == plain and (scale == 0 or sum(map(len, plain)) > 500)
+
+
+def test_long_texts_are_split_into_tokens_by_parts(monkeypatch):
+    text = "one 12 @two.\nthree  4\n\n" * 40 + "x" * 90 + " y"
+    whole = pii.tokens_of(text, pii.Vocabulary())
+    monkeypatch.setattr(pii, "GROUP", 16)
+    assert all((a == b).all() for a, b in zip(whole, pii.tokens_of(text, pii.Vocabulary()), strict=True))
+    assert [(text[s:e], text.count("\n", 0, s)) for s, e in zip(whole[1], whole[2], strict=True)] == [(m[0], text.count("\n", 0, m.start())) for m in pii.TOKEN.finditer(text)] == [(text[s:e], n) for s, e, n in zip(*whole[1:], strict=True)]
+
+
+def test_an_address_has_an_at():
+    assert pii.sound("email", "ann.b @ host.org") and pii.sound("email", "ann [at] host [dot] com")
+    assert not pii.sound("email", "der.*** Von&&& pfein") and not pii.sound("email", "that is it.")
+
+
 # 2: archives
 
 
