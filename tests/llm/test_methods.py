@@ -417,6 +417,25 @@ def test_long_distances_in_a_band():
             assert lines.within(a, b, k) == (row[-1] <= k)
 
 
+def test_pairs_of_characters_part_what_single_ones_do_not(spark, monkeypatch):
+    rng = random.Random(7)
+    said = ["".join(rng.sample("abcdefghij" * 110, 1100)) for _ in range(30)]  # the same characters in each
+    said.append(said[0].replace("a", "k", 40))
+    calls, within = [], lines.within
+    monkeypatch.setattr(lines, "within", lambda a, b, k: calls.append(1) or within(a, b, k))
+    assert lines.forest(list(range(31)), said, None) == [(0, 30)] and len(calls) == 1  # all pairs were verified
+    texts = spark.createDataFrame(list(enumerate(said)), "id long, line string")
+    loose = spark.createDataFrame([(a, 30, None, None, None, None) for a in range(30)] + [(a, None, 5, 0, 0, 0) for a in range(30)], "a long, b long, k long, i int, j int, t int")
+    assert sorted(tuple(r) for r in lines.long_groups(loose, texts).collect()) == [(0, 0), (0, 30)]
+    for _ in range(200):
+        x = "".join(rng.choice("abcd") for _ in range(rng.randint(0, 40)))
+        y = x
+        for _ in range(k := rng.randint(0, 5)):
+            at = rng.randint(0, len(y))
+            y = rng.choice([y[:at] + "x" + y[at:], y[:at] + y[at + 1 :], y[:at] + "y" + y[at + 1 :]])
+        assert np.abs(np.subtract(*lines.pair_bag([x, y]))).sum() <= 4 * k
+
+
 def test_packed_columns_come_back():
     cols = [np.array([1, 5, 2**50], dtype=np.uint64), np.array([3, 2, 1], dtype=np.uint32), np.array([9, 8, 7], dtype=np.uint8), np.array([1, 2, 65535], dtype=np.uint16), np.array([4, 5, 6], dtype=np.uint16)]
     assert all((x == y).all() for x, y in zip(cols, lines._unpack(lines._pack(cols), 3, lines.KEY_COLUMNS), strict=True))
