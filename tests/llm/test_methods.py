@@ -12,11 +12,13 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import public_tokenizers
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from larkspur.llm import bpe, chat, fingerprints, licenses, lines, packing, pii, quality, simhash, warc
 from larkspur.llm.common import table
+from larkspur.llm.components import components
 from larkspur.llm.entry import queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -399,6 +401,16 @@ def test_likeness_across_tiles_is_told_once(spark):
     assert len({find(i) for i in range(2000)}) == 1 and len(edges) < 2000 + 20 * 20
 
 
+def test_near_copies_come_once_and_not_for_each_key(spark):
+    base = random.Random(8).choices("abcdefghijklmnopqrstuvwxyz ", k=400)
+    said = ["".join([*base[: 2 * i], "#", *base[2 * i + 1 :]]) for i in range(1, 151)]  # each meets the others under nearly all of its keys
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string").repartition(3)
+    rows = lines.long_links(docs, lines.TILE, 0, 1).where("k is not null").select("k", "a").collect()
+    assert len(rows) < 5 * len(said) and {r.a for r in rows} == {xxhash.xxh64_intdigest(x.encode(), 42) & lines.LAST for x in said}  # it had a row for each key
+    for tile in (1, 512):  # BAG_TILES are one where texts are not needed
+        assert len(set(components(lines.links(docs, None, 1, tile)).toPandas()["root"])) == 1
+
+
 def test_long_distances_in_a_band():
     rng = random.Random(6)
     for _ in range(300):
