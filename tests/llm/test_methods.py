@@ -429,6 +429,21 @@ def test_long_distances_in_a_band():
             assert lines.within(a, b, k) == (row[-1] <= k)
 
 
+def test_many_lines_are_verified_at_once_as_one_by_one():
+    rng = random.Random(9)
+    for k in (4, 12, 31):
+        for n in (25, 90, 400):
+            a, others = "".join(rng.choices("abcdé漢", k=n)), ["", "a" * n]
+            for _ in range(40):
+                b = a
+                for _ in range(rng.randint(0, 3 * k // 2)):
+                    i = rng.randint(0, len(b))
+                    b = rng.choice([b[:i] + "x" + b[i:], b[:i] + b[i + 1 :], b[:i] + "y" + b[i + 1 :]])
+                others.append(b)
+            most = np.array([k - rng.randint(0, 3) for _ in others])
+            assert lines.within_many(a, others, most).tolist() == [lines.within(a, b, int(x)) for b, x in zip(others, most)]
+
+
 def test_pairs_of_characters_part_what_single_ones_do_not(spark, monkeypatch):
     rng = random.Random(7)
     said = ["".join(rng.sample("abcdefghij" * 110, 1100)) for _ in range(30)]  # the same characters in each
