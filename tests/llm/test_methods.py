@@ -463,6 +463,33 @@ def test_pairs_of_characters_part_what_single_ones_do_not(spark, monkeypatch):
         assert np.abs(np.subtract(*lines.pair_bag([x, y]))).sum() <= 4 * k
 
 
+def test_equal_lines_of_several_tasks_meet_as_one(spark):
+    base = random.Random(4).choices("abcdefghijklmnopqrstuvwxyz ", k=300)
+    said = ["".join([*base[: 9 * i], "#", *base[9 * i + 1 :]]) for i in range(1, 31)]
+    found = lines.gram_meeting(spark.createDataFrame([(x,) for _ in range(12) for x in said], "text string").repartition(12)).cache()
+    assert {len(said)} == {found.where("id is not null").select(c).distinct().count() for c in ("ref", "id")}
+    assert found.where("other is not null").select("ref", "other").distinct().count() <= len(said) * (len(said) - 1) // 2  # they had names of their own in each task
+
+
+def test_pairs_of_many_lines_are_verified_at_once():
+    rng, said = random.Random(12), ["", "x" * 80]
+    for n in (60, 90, 400, 820):
+        base = "".join(rng.choices("abcdé漢", k=n))
+        for _ in range(12):
+            b = base
+            for _ in range(rng.randint(0, n // 20)):
+                i = rng.randint(0, len(b))
+                b = rng.choice([b[:i] + "x" + b[i:], b[:i] + b[i + 1 :], b[:i] + "y" + b[i + 1 :]])
+            said.append(b)
+    x, y = np.triu_indices(len(said), 1)
+    for most in (lines.allowed(np.minimum(*(np.array([len(said[t]) for t in of]) for of in (x, y)))), np.array([rng.randint(0, 40) for _ in x])):
+        linked = [lines.within(said[a], said[b], int(k)) for a, b, k in zip(x, y, most)]
+        assert lines.within_pairs(said, x, y, most).tolist() == linked and 20 < sum(linked) < len(x) - 20
+    group = np.repeat([0, 1, 2], [14, 24, 12])  # links of two groups at once are those of each
+    parts = [e for b, e in ((0, 14), (14, 38), (38, 50)) for e in lines.forest(list(range(b, e)), said[b:e], None)]
+    assert sorted(lines.forest(list(range(50)), said, None, None, group)) == sorted(parts) and len(parts) > 20
+
+
 def test_packed_columns_come_back():
     cols = [np.array([1, 5, 2**50], dtype=np.uint64), np.array([3, 2, 1], dtype=np.uint32), np.array([9, 8, 7], dtype=np.uint8), np.array([1, 2, 65535], dtype=np.uint16), np.array([4, 5, 6], dtype=np.uint16)]
     assert all((x == y).all() for x, y in zip(cols, lines._unpack(lines._pack(cols), 3, lines.KEY_COLUMNS), strict=True))
